@@ -19,7 +19,23 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op6_sharding)}
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from gleanery.llm.simhash import simhash_classes
+
+    return simhash_classes(read(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from gleanery.llm.token_count import count_tokens
+
+    return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op5_token_count, op6_sharding)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
