@@ -35,7 +35,13 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op5_token_count, op6_sharding)}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.llm.quality import quality_scores
+
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op5_token_count, op6_sharding, op7_quality)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
