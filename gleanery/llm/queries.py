@@ -41,7 +41,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op5_token_count, op6_sharding, op7_quality)}
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.llm.pii import find_pii
+
+    return find_pii(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op5_token_count, op6_sharding, op7_quality)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
