@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import scratch_path, squeeze
+from gleanery.llm.common import scratch_path, squeeze, stored
 
 #: Bits in a row of the filter: what bitmap_construct_agg gives, 4 KB.
 _ROW_BITS = 32768
@@ -113,10 +113,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hits = _maybe_in(base.withColumn("digest", digest), _bit_filter(shared, filter_bits), filter_bits)
     hits = hits.join(shared.hint("merge"), "digest")
     deals = F.ceil(F.col("n") / copies_per_task).cast("long")
-    hits = hits.withColumn("deal", F.pmod(F.xxhash64("doc_id"), deals))
+    # Written, as the text that stays and the texts held against it both come from these rows.
+    hits = stored(hits.withColumn("deal", F.pmod(F.xxhash64("doc_id"), deals)), "digest-hits")
     stays = hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest", "n").agg(F.min("normal").alias("kept_text"))
     stays = stays.select("digest", "kept_text", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / copies_per_task).cast("long") - 1)).alias("deal"))
     checked = hits.join(stays.hint("merge"), ["digest", "deal"]).withColumn("same", F.col("normal") == F.col("kept_text"))
+    checked = stored(checked.select("doc_id", "keep_id", "n", "digest", "text_sha256", "same", F.when(~F.col("same"), F.col("normal")).alias("normal")), "digest-checked")
     same = checked.where("same").select("doc_id", "keep_id", "n", "digest", "text_sha256")
     # Documents that only share the digest of another text: grouped by the text itself.
     other = checked.where("not same").select("doc_id", "normal", "digest", "text_sha256")
