@@ -13,6 +13,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable
 from functools import cache
 
@@ -23,6 +24,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 _split = regex.compile(PRE_TOKEN).findall
 
+_NONE = 1 << 60  # above every rank
+
 #: Distinct pre-tokens remembered in a worker; beyond, it forgets all and goes on.
 REMEMBERED = 400_000
 
@@ -74,8 +77,27 @@ class Vocabulary:
         return "".join([table[b] for b in pre_token.encode()])
 
     def merge(self, letters: str) -> list[str]:
-        """Merge the pair of least rank, leftmost first, until none is left. A heap over a linked
-        list keeps this near n log n for pre-tokens of any length."""
+        """Merge the pair of least rank, leftmost first, until none is left."""
+        parts: list[str] = list(letters)
+        if len(parts) > 48:
+            return self._merge_long(parts)
+        rank = self.ranks.get
+        scores = [rank(p, _NONE) for p in zip(parts, parts[1:])]
+        while scores:
+            least = min(scores)
+            if least == _NONE:
+                break
+            k = scores.index(least)
+            parts[k] += parts.pop(k + 1)
+            del scores[k]
+            if k < len(scores):
+                scores[k] = rank((parts[k], parts[k + 1]), _NONE)
+            if k:
+                scores[k - 1] = rank((parts[k - 1], parts[k]), _NONE)
+        return parts
+
+    def _merge_long(self, letters: list[str]) -> list[str]:
+        """A heap over a linked list keeps this near n log n for pre-tokens of any length."""
         parts: list[str | None] = list(letters)
         n, ranks = len(parts), self.ranks
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -137,3 +159,90 @@ def prove_whole_tokens(vocabulary: Vocabulary) -> frozenset[str]:
         if len(vocabulary.merge(entry)) == 1:
             proven.add(text)
     return frozenset(proven)
+
+
+class _Cut(Exception):
+    """A chunk that can't be encoded on its own."""
+
+
+class IdEncoder:
+    """Ids of whole texts by the tokenizers library, which encodes each distinct pre-token once.
+
+    A space between two characters that aren't white space always starts a pre-token, so a text
+    is cut at its spaces, and each chunk's ids are remembered; a chunk that isn't known yet is put
+    together from its pre-tokens. Texts with other spacing are cut to pre-tokens as a whole.
+    Ids come as little-endian bytes, two to an id if the vocabulary allows, else four."""
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        from tokenizers import Tokenizer
+
+        self.vocabulary, self.library = Vocabulary(path), Tokenizer.from_file(path)
+        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        self.remembered, self.split = remembered, splitter(path)
+        self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self._special = tuple(self.vocabulary.special)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == 2 else "I", ids).tobytes()
+
+    def _ids(self, pre_tokens: list[str]) -> list[bytes]:
+        """The ids of each pre-token. Unknown ones of a space and what follows it are put behind
+        one another in a single call, and come apart again at those spaces."""
+        known = self.known
+        missing = [p for p in dict.fromkeys(pre_tokens) if p not in known]
+        if missing:
+            if len(known) + len(missing) > self.remembered:
+                known.clear()
+                missing = list(dict.fromkeys(pre_tokens))
+            chain = [p for p in missing if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+            if chain:
+                encoded = self.library.encode("".join(chain), add_special_tokens=False)
+                packed, width = self._pack(encoded.ids), self.width
+                words = encoded.word_ids
+                at, n = 0, len(words)
+                for k, pre_token in enumerate(chain):
+                    low = at
+                    while at < n and words[at] == k:
+                        at += 1
+                    known[pre_token] = packed[low * width : at * width]
+            for pre_token in missing:
+                if pre_token not in known:
+                    known[pre_token] = self._pack(self.library.encode(pre_token, add_special_tokens=False).ids)
+        return [known[p] for p in pre_tokens]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks, each with a space before it."""
+        if len(self.chunks) + len(chunks) > self.remembered:
+            self.chunks.clear()
+        split, pre_tokens, sizes = self.split, [], []
+        for c in chunks:
+            if not c or c[0].isspace() or c[-1].isspace():
+                raise _Cut
+            some = split(" " + c)
+            pre_tokens += some
+            sizes.append(len(some))
+        ids, at = self._ids(pre_tokens), 0
+        for c, n in zip(chunks, sizes, strict=True):
+            self.chunks[c] = b"".join(ids[at : at + n]) if n > 1 else ids[at]
+            at += n
+
+    def _piece(self, piece: str) -> bytes:
+        first, *rest = piece.split(" ")
+        try:
+            if not first or first[0].isspace() or first[-1].isspace():
+                raise _Cut
+            found = list(map(self.chunks.get, rest))
+            if None in found:
+                missing = [c for c, f in zip(rest, found, strict=True) if f is None]
+                self._learn(list(dict.fromkeys(missing)))
+                learned = iter(map(self.chunks.__getitem__, missing))
+                found = [next(learned) if f is None else f for f in found]
+            return b"".join([*self._ids(self.split(first)), *found])
+        except _Cut:
+            return b"".join(self._ids(self.split(piece)))
+
+    def encode(self, text: str) -> bytes:
+        if any(s in text for s in self._special):
+            return b"".join(self._pack([self.vocabulary.special[p]]) if special else self._piece(p) for p, special in self.vocabulary.pieces(text))
+        return self._piece(text) if text else b""

@@ -47,7 +47,15 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op5_token_count, op6_sharding, op7_quality)}
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from gleanery.llm.repair import token_output
+
+    return token_output(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op5_token_count, op6_sharding, op7_quality, op8_token_output)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
