@@ -55,7 +55,19 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op5_token_count, op6_sharding, op7_quality, op8_token_output)}
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.llm.linededup import repeated_passages
+
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.llm.decontaminate import find_leaks
+
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
