@@ -67,7 +67,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination)}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.llm.mixing import mix
+
+    return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination, op10_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
