@@ -1 +1 @@
-
+"""Incremental state over batches."""
