@@ -122,10 +122,13 @@ def _measures(values: np.ndarray) -> dict[str, float]:
 MEASURES = "sharpness double, focal_x double, focal_y double, edge_ratio double, depth double, busyness double, blockiness double, exposure double, balance double, off_centre double, thirds double"
 
 
-@F.pandas_udf(MEASURES)
-def gradient_measures(grids: pd.Series) -> pd.DataFrame:
-    """Sobel, Laplacian and Fourier measures of each grid."""
-    return pd.DataFrame([_measures(g) for g in grids], columns=[c.split()[0] for c in MEASURES.split(", ")])
+def gradient_measures(grid: Column) -> Column:
+    """A struct of Sobel, Laplacian and Fourier measures of each grid."""
+
+    def run(grids: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_measures(g) for g in grids], columns=[c.split()[0] for c in MEASURES.split(", ")])
+
+    return F.pandas_udf(run, MEASURES)(grid)
 
 
 def kmeans(points: np.ndarray, k: int = 5, seed: int = 42, starts: int = 10, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
@@ -149,9 +152,7 @@ def kmeans(points: np.ndarray, k: int = 5, seed: int = 42, starts: int = 10, rou
     return best[1][order], best[2][order]
 
 
-@F.pandas_udf("sizes array<long>, diversity double, hue int")
-def palette(pixels: pd.Series) -> pd.DataFrame:
-    """Five colours of each image, given as a flat array of three values a pixel."""
+def _palettes(pixels: pd.Series) -> pd.DataFrame:
     rows = []
     for p in pixels:
         centres, sizes = kmeans(np.asarray(p, np.float64)[: len(p) // 3 * 3].reshape(-1, 3))
@@ -161,6 +162,12 @@ def palette(pixels: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["sizes", "diversity", "hue"])
 
 
+def palette(pixels: Column) -> Column:
+    """Five colours of each image, given as a flat array of three values a pixel: a struct of the
+    colours' sizes, their diversity, and the hue of the largest."""
+    return F.pandas_udf(_palettes, "sizes array<long>, diversity double, hue int")(pixels)
+
+
 def bar_rows(pixels: np.ndarray, least: int = 35, most: int = 70, share: float = 0.85, dark: int = 40, step: float = 25.0) -> int:
     """Rows of a dark bar at the bottom of a height x width x 3 image, 0 if there is none: from 35
     to 70 trailing rows of which 85 % of pixels are dark in all channels, with a step to the row above."""
@@ -174,6 +181,10 @@ def bar_rows(pixels: np.ndarray, least: int = 35, most: int = 70, share: float =
     return size if above - strip >= step else 0
 
 
-@F.pandas_udf("int")
-def detect_bar(pixels: pd.Series, width: pd.Series) -> pd.Series:
+def _bars(pixels: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([bar_rows(np.asarray(p, np.float64).reshape(-1, int(w), 3)) for p, w in zip(pixels, width, strict=True)], dtype="int32")
+
+
+def detect_bar(pixels: Column, width: Column) -> Column:
+    """Rows of the dark bar of images given as flat arrays of three values a pixel."""
+    return F.pandas_udf(_bars, "int")(pixels, width)

@@ -6,6 +6,7 @@ vocabulary is read as one array column, so it is a broadcast of bounded size and
 
 from __future__ import annotations
 
+import base64
 import struct
 
 import pandas as pd
@@ -37,14 +38,15 @@ def quantize_int8(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.greatest(F.lit(-128.0), F.least(F.lit(127.0), x.cast("double") * 127.0)).cast("tinyint"))
 
 
-@F.pandas_udf("string")
-def pack_base64(vectors: pd.Series) -> pd.Series:
-    """Base64 of the signed bytes of quantised vectors."""
-    import base64
-
+def _packed(vectors: pd.Series) -> pd.Series:
     return vectors.map(lambda v: None if v is None else base64.b64encode(struct.pack(f"{len(v)}b", *v)).decode())
 
 
+def pack_base64(vector: Column) -> Column:
+    """Base64 of the signed bytes of quantised vectors."""
+    return F.pandas_udf(_packed, "string")(vector)
+
+
 def centroids(items: DataFrame, label: str, vector: str) -> DataFrame:
     """label, centroid: the mean vector of each label, dimension by dimension with partial
     aggregation."""

@@ -69,7 +69,6 @@ class _Anchors(HTMLParser):
                 break
 
 
-@udtf(returnType="position int, href string, skipped boolean")
 class DomLinks:
     """Anchors of a page in order, with the ancestor rule that a pattern can't express."""
 
@@ -83,7 +82,7 @@ class DomLinks:
 def dom_links(pages: DataFrame, skip: str = "featured", page_id: str = "page_id", html: str = "html") -> DataFrame:
     """page_id, position, href, skipped."""
     spark = pages.sparkSession
-    spark.udtf.register("gleanery_dom_links", DomLinks)
+    spark.udtf.register("gleanery_dom_links", udtf(DomLinks, returnType="position int, href string, skipped boolean"))
     name = "gleanery_pages"
     pages.select(page_id, html).createOrReplaceTempView(name)
     return spark.sql(f"SELECT p.{page_id}, d.position, d.href, d.skipped FROM {name} p, LATERAL gleanery_dom_links(p.{html}, '{skip}') d")
