@@ -138,7 +138,11 @@ def kmeans(points: np.ndarray, k: int = 5, seed: int = 42, starts: int = 10, rou
     k = min(k, len(points))
     best = None
     for _ in range(starts):
-        centres = points[rng.choice(len(points), k, replace=False)]
+        centres = points[rng.integers(len(points))][None]
+        while len(centres) < k:  # far points are likelier to become centres
+            far = ((points[:, None] - centres[None]) ** 2).sum(-1).min(1)
+            chance = far / far.sum() if far.sum() > 0 else None
+            centres = np.concatenate([centres, points[rng.choice(len(points), p=chance)][None]])
         for _ in range(rounds):
             owner = ((points[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
             moved = np.stack([points[owner == c].mean(0) if (owner == c).any() else centres[c] for c in range(k)])

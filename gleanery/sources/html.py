@@ -20,7 +20,11 @@ def links(pages: DataFrame, pattern: str, page_id: str = "page_id", html: str =
 
 def ranked_links(pages: DataFrame, patterns: list[str], page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Links by several patterns, of which an earlier pattern's occurrence comes first."""
-    arrays = [F.transform(F.regexp_extract_all(F.col(html), F.lit(p), F.lit(1)), lambda x, i, k=k: F.struct(F.lit(k).alias("method"), i.alias("position"), x.alias("link"))) for k, p in enumerate(patterns)]
+
+    def found(k: int, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)), lambda x, i: F.struct(F.lit(k).alias("method"), i.alias("position"), x.alias("link")))
+
+    arrays = [found(k, p) for k, p in enumerate(patterns)]
     each = pages.select(page_id, F.inline(F.concat(*arrays)))
     first = each.groupBy(page_id, "link").agg(F.min(F.struct("method", "position")).alias("first"))
     return first.select(page_id, "link", "first.method", "first.position")
