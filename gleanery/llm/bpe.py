@@ -13,10 +13,10 @@ import json
 import re
 import sys
 import unicodedata
-from array import array
 from collections.abc import Callable, Iterable
 from functools import cache
 
+import numpy as np
 import regex
 
 #: The pre-token pattern that byte-level BPE files with use_regex stand for. Fixed value.
@@ -166,83 +166,69 @@ class _Cut(Exception):
 
 
 class IdEncoder:
-    """Ids of whole texts by the tokenizers library, which encodes each distinct pre-token once.
+    """Ids of whole texts by the tokenizers library, which encodes each distinct chunk once.
 
     A space between two characters that aren't white space always starts a pre-token, so a text
-    is cut at its spaces, and each chunk's ids are remembered; a chunk that isn't known yet is put
-    together from its pre-tokens. Texts with other spacing are cut to pre-tokens as a whole.
+    can be cut at its spaces, and each chunk's ids are remembered. The chunks of a text that aren't
+    known are put behind one another and encoded in one call; as no token spans two chunks, the
+    byte lengths of the tokens say where each chunk's ids end. Texts with other spacing are encoded
+    as they are. Of the remembered chunks, those of the last two generations are kept.
     Ids come as little-endian bytes, two to an id if the vocabulary allows, else four."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.vocabulary, self.library = Vocabulary(path), Tokenizer.from_file(path)
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.remembered, self.split = remembered, splitter(path)
-        self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        size = self.library.get_vocab_size()
+        self.kind, self.width = ("<u2", 2) if size <= 1 << 16 else ("<u4", 4)
+        self.lengths = np.zeros(size, np.int64)
+        for entry, k in self.vocabulary.ids.items():
+            self.lengths[k] = len(entry)
+        self.remembered = remembered
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self._special = tuple(self.vocabulary.special)
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return array("H" if self.width == 2 else "I", ids).tobytes()
-
-    def _ids(self, pre_tokens: list[str]) -> list[bytes]:
-        """The ids of each pre-token. Unknown ones of a space and what follows it are put behind
-        one another in a single call, and come apart again at those spaces."""
-        known = self.known
-        missing = [p for p in dict.fromkeys(pre_tokens) if p not in known]
-        if missing:
-            if len(known) + len(missing) > self.remembered:
-                known.clear()
-                missing = list(dict.fromkeys(pre_tokens))
-            chain = [p for p in missing if len(p) > 1 and p[0] == " " and not p[1].isspace()]
-            if chain:
-                encoded = self.library.encode("".join(chain), add_special_tokens=False)
-                packed, width = self._pack(encoded.ids), self.width
-                words = encoded.word_ids
-                at, n = 0, len(words)
-                for k, pre_token in enumerate(chain):
-                    low = at
-                    while at < n and words[at] == k:
-                        at += 1
-                    known[pre_token] = packed[low * width : at * width]
-            for pre_token in missing:
-                if pre_token not in known:
-                    known[pre_token] = self._pack(self.library.encode(pre_token, add_special_tokens=False).ids)
-        return [known[p] for p in pre_tokens]
+    def _library_ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _learn(self, chunks: list[str]) -> None:
         """Remember the ids of chunks, each with a space before it."""
-        if len(self.chunks) + len(chunks) > self.remembered:
-            self.chunks.clear()
-        split, pre_tokens, sizes = self.split, [], []
+        if len(self.young) + len(chunks) > self.remembered:
+            self.old, self.young = self.young, {}
+        young, old, new = self.young, self.old, []
         for c in chunks:
-            if not c or c[0].isspace() or c[-1].isspace():
-                raise _Cut
-            some = split(" " + c)
-            pre_tokens += some
-            sizes.append(len(some))
-        ids, at = self._ids(pre_tokens), 0
-        for c, n in zip(chunks, sizes, strict=True):
-            self.chunks[c] = b"".join(ids[at : at + n]) if n > 1 else ids[at]
-            at += n
+            if c in old:
+                young[c] = old[c]
+            else:
+                if not c or c[0].isspace() or c[-1].isspace():
+                    raise _Cut
+                new.append(c)
+        if new:
+            ids = self._library_ids(" " + " ".join(new))
+            sizes = np.fromiter(map(len, map(str.encode, new)), np.int64, len(new)) + 1
+            cuts = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1) * self.width
+            data, low = ids.tobytes(), 0
+            for c, high in zip(new, cuts.tolist(), strict=True):
+                young[c] = data[low:high]
+                low = high
 
     def _piece(self, piece: str) -> bytes:
         first, *rest = piece.split(" ")
         try:
             if not first or first[0].isspace() or first[-1].isspace():
                 raise _Cut
-            found = list(map(self.chunks.get, rest))
+            found = list(map(self.young.get, rest))
             if None in found:
                 missing = [c for c, f in zip(rest, found, strict=True) if f is None]
                 self._learn(list(dict.fromkeys(missing)))
-                learned = iter(map(self.chunks.__getitem__, missing))
+                learned = iter(map(self.young.__getitem__, missing))
                 found = [next(learned) if f is None else f for f in found]
-            return b"".join([*self._ids(self.split(first)), *found])
+            return b"".join([self._library_ids(first).tobytes(), *found])
         except _Cut:
-            return b"".join(self._ids(self.split(piece)))
+            return self._library_ids(piece).tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self._special):
-            return b"".join(self._pack([self.vocabulary.special[p]]) if special else self._piece(p) for p, special in self.vocabulary.pieces(text))
+            return b"".join(np.array([self.vocabulary.special[p]], self.kind).tobytes() if special else self._piece(p) for p, special in self.vocabulary.pieces(text))
         return self._piece(text) if text else b""

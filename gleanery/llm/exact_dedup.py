@@ -32,18 +32,21 @@ class DigestIndex:
     """The runs and the compacted level under one path in the shared folder."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.runs, self.level = spark, path, 0, 0
+        self.spark, self.path, self.level = spark, path, 0
+        self.runs: list[str] = []  # not compacted yet
+        self.flushed = 0
 
     def flush(self, entries: DataFrame) -> None:
         """Add (digest, doc_id): one sorted run of each task, with a Bloom filter."""
         writer = entries.sortWithinPartitions("digest", "doc_id").write
         writer = writer.option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
-        writer.parquet(f"{self.path}/run={self.runs}")
-        self.runs += 1
+        self.runs.append(f"{self.path}/run={self.flushed}")
+        self.flushed += 1
+        writer.parquet(self.runs[-1])
 
     def compact(self) -> None:
         """Merge the runs and the present level into the next: digest, keep_id, n."""
-        runs = [self.spark.read.parquet(f"{self.path}/run={k}").select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n")) for k in range(self.runs)]
+        runs = [self.spark.read.parquet(p).select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n")) for p in self.runs]
         if self.level:
             runs.append(self.entries())
         merged = runs[0]
@@ -52,7 +55,7 @@ class DigestIndex:
         merged = merged.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("n"))
         self.level += 1
         merged.sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true").parquet(f"{self.path}/level={self.level}")
-        self.runs = 0
+        self.runs = []
 
     def entries(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/level={self.level}")
