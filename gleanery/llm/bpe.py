@@ -175,7 +175,7 @@ class IdEncoder:
     as they are. Of the remembered chunks, those of the last two generations are kept.
     Ids come as little-endian bytes, two to an id if the vocabulary allows, else four."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED // 2):
         from tokenizers import Tokenizer
 
         self.vocabulary, self.library = Vocabulary(path), Tokenizer.from_file(path)

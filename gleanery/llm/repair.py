@@ -79,16 +79,19 @@ def compress(ids: np.ndarray, n_ids: np.ndarray, base: int, rounds: int = ROUNDS
         left, right = (chosen >> chosen.dtype.type(16 if narrow else 32)).astype(np.int64), (chosen & chosen.dtype.type(0xFFFF if narrow else 0xFFFFFFFF)).astype(np.int64)
         rows, row = np.unique(left, return_inverse=True)
         columns, column = np.unique(right, return_inverse=True)
-        row_of, column_of = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        row_of, column_of = np.zeros(n, np.int16), np.zeros(n, np.int16)
         row_of[rows], column_of[columns] = np.arange(1, len(rows) + 1), np.arange(1, len(columns) + 1)
         rule_of = np.full((len(rows) + 1, len(columns) + 1), -1, np.int16 if per_round < 1 << 15 else np.int32)
         rule_of[row + 1, column + 1] = np.arange(len(chosen))
-        rule = rule_of[row_of[s[:-1]], column_of[s[1:]]]
-        at = np.flatnonzero((rule >= 0) & within)
+        r, c = row_of[s[:-1]], column_of[s[1:]]
+        at = np.flatnonzero((r > 0) & (c > 0) & within)
+        rule = rule_of.ravel()[r[at].astype(np.int32) * (len(columns) + 1) + c[at]]
+        at, rule = at[rule >= 0], rule[rule >= 0]
         begins = np.concatenate([[True], np.diff(at) > 1])
         start = np.maximum.accumulate(np.where(begins, at, 0))
-        at = at[(at - start) % 2 == 0]
-        s[at] = n + rule[at].astype(np.uint32)
+        odd = (at - start) & 1 == 0
+        at = at[odd]
+        s[at] = n + rule[odd].astype(np.uint32)
         last[at] = last[at + 1]
         stay = np.ones(len(s), bool)
         stay[at + 1] = False
