@@ -192,3 +192,34 @@ def _bars(pixels: pd.Series, width: pd.Series) -> pd.Series:
 def detect_bar(pixels: Column, width: Column) -> Column:
     """Rows of the dark bar of images given as flat arrays of three values a pixel."""
     return F.pandas_udf(_bars, "int")(pixels, width)
+
+
+def crop_bar(pixels: np.ndarray) -> np.ndarray:
+    """The image without its dark bar."""
+    rows = bar_rows(pixels)
+    return pixels[: len(pixels) - rows] if rows else pixels
+
+
+def colour_cast(red: Column, green: Column, blue: Column) -> Column:
+    """1 less the largest deviation of a channel's mean from the mean of all, over 50."""
+    mean = (red + green + blue) / 3
+    worst = F.greatest(F.abs(red - mean), F.abs(green - mean), F.abs(blue - mean))
+    return 1 - F.greatest(F.lit(0.0), F.least(F.lit(1.0), worst / 50))
+
+
+def harmony(hues: Column) -> Column:
+    """Pairs of hues: 1 for complementary ones (150 to 210 degrees), .5 for close ones (under 45),
+    over 5, at most 1."""
+    n = F.size(hues)
+
+    def score(i: Column, j: Column) -> Column:
+        d = F.abs(F.get(hues, i) - F.get(hues, j))
+        return F.when(j <= i, 0.0).when((d > 150) & (d < 210), 1.0).when(d < 45, 0.5).otherwise(0.0)
+
+    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda t, j: t + score(i, j)))
+    return F.least(total / 5, F.lit(1.0))
+
+
+def composite(visual: Column, layout: Column, beauty: Column, fitness: Column) -> Column:
+    """The older fixed-weight score."""
+    return visual * 0.4 + layout * 0.3 + beauty * 0.2 + fitness * 0.1

@@ -1,3 +1,3 @@
 """Registered queries over the driver tables, each with the SQL that it is checked against."""
 
-from gleanery.plans import curation, history_queries, vector_queries  # noqa: F401
+from gleanery.plans import control_queries, curation, history_queries, vector_queries  # noqa: F401
