@@ -231,14 +231,14 @@ def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.nd
     return _star_edges(rows, planes, radius)
 
 
-def similarity_radius(similarity: float, bits: int, deviations: float = 0.6) -> int:
+def similarity_radius(similarity: float, bits: int, deviations: float = 0.8) -> int:
     """The distance that pairs of this Jaccard similarity have on average, plus some deviations
     so that pairs just at the threshold are caught."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: int = 1, similarity: float | None = None, recall: float = 0.92, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: int = 1, similarity: float | None = None, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (binary), component_id: the smallest doc_id that links lead to.
 
     Without `similarity`: links at `radius` or fewer differing bits, and none is missed. With it,
@@ -267,7 +267,7 @@ def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: in
     return prints.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, planes: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, planes: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those that have a near copy with a smaller id in their class."""
     classes = simhash_classes(docs, words=words, planes=planes, similarity=similarity, id_col=id_col, text_col=text_col)
     go = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col))
