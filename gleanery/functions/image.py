@@ -223,3 +223,9 @@ def harmony(hues: Column) -> Column:
 def composite(visual: Column, layout: Column, beauty: Column, fitness: Column) -> Column:
     """The older fixed-weight score."""
     return visual * 0.4 + layout * 0.3 + beauty * 0.2 + fitness * 0.1
+
+
+def pixel_sample(pixels: np.ndarray, n: int = 10_000, seed: int = 42) -> np.ndarray:
+    """At most n pixels, the same ones for the same image."""
+    flat = pixels.reshape(-1, pixels.shape[-1])
+    return flat if len(flat) <= n else flat[np.sort(np.random.default_rng(seed).choice(len(flat), n, replace=False))]

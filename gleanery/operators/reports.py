@@ -67,3 +67,10 @@ def regressions(now: DataFrame, baseline: DataFrame, key: str, value: str, limit
     out = now.select(key, F.col(value).alias("current")).join(b, key)
     change = F.try_divide(F.col("current") - F.col("baseline"), F.col("baseline"))
     return out.withColumn("change_pct", F.round(change * 100, 4)).withColumn("regression", change > limit)
+
+
+def stage_totals(stages: DataFrame, stage: str, ms: str) -> DataFrame:
+    """stage, ms, share_pct, is_bottleneck: the stage that takes longest, ties by name."""
+    total = stages.agg(F.sum(ms).alias("total"), F.max(F.struct(F.col(ms), F.col(stage))).alias("worst"))
+    out = stages.crossJoin(F.broadcast(total))  # one row
+    return out.select(stage, F.round(ms, 4).alias(ms), percent(F.col(ms), F.col("total")).alias("share_pct"), (F.col(stage) == F.col("worst")[stage]).alias("is_bottleneck"))

@@ -117,3 +117,30 @@ def existing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = events.where("user_id % 2 = 0").select(F.concat(day, F.lit(".json.gz")).alias("name"))
     remote = events.where("user_id % 3 = 0").select(F.concat(day, F.lit("-2.json.gz")).alias("name"))
     return local.unionByName(remote).distinct()
+
+
+@query("""WITH t AS (SELECT 'line' || l_linenumber AS stage, sum(l_quantity) AS ms FROM lineitem GROUP BY 1)
+    SELECT stage, round(ms, 4) AS ms, round(ms * 100.0::DOUBLE / sum(ms) OVER (), 2) AS share_pct, row_number() OVER (ORDER BY ms DESC, stage DESC) = 1 AS is_bottleneck FROM t""")
+def stage_bottleneck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("line"), F.col("l_linenumber").cast("string")).alias("stage")).agg(F.sum("l_quantity").alias("ms"))
+    return reports.stage_totals(times, "stage", "ms")
+
+
+@query("""SELECT doc_id, coalesce(CASE WHEN quality = 1 THEN 'https://m.example.org/' || doc_id END, '') AS url FROM documents LEFT JOIN labels USING (doc_id)""")
+def url_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanery.sources.store import attach_urls
+
+    labels = table(spark, sf_dir, "labels")
+    results = labels.select(F.col("doc_id").cast("string").alias("id"), (F.col("quality") == 1).alias("success"), F.concat(F.lit("https://m.example.org/"), F.col("doc_id").cast("string")).alias("url"), F.lit(1).alias("attempts"))
+    return attach_urls(table(spark, sf_dir, "documents").select("doc_id"), results, "doc_id").select("doc_id", "url")
+
+
+@query("""SELECT vec_id, m AS model FROM embeddings, (SELECT unnest(['base', 'text', 'self']) AS m) WHERE NOT (m = 'base' AND vec_id % 2 = 0) AND NOT (m = 'text' AND vec_id % 3 = 0)""")
+def extraction_to_do(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item, model) pairs that a resumed extraction still has to run."""
+    from gleanery.operators.models import to_do
+
+    items = table(spark, sf_dir, "embeddings")
+    vector = F.col("embedding").alias("vector")
+    done = items.where("vec_id % 2 = 0").select("vec_id", F.lit("base").alias("model"), vector).unionByName(items.where("vec_id % 3 = 0").select("vec_id", F.lit("text").alias("model"), vector))
+    return to_do(items, done, "vec_id", ["base", "text", "self"])
