@@ -33,8 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a table of this run in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for a table of this run in the shared folder, below one folder for the application,
+    which can be removed when the application has ended."""
+    return f"{shared_dir(spark)}/gleanery-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -28,10 +28,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -251,54 +253,69 @@ def edit_distance(a: list[int], b: list[int], bound: int) -> int:
     return row[m]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = 0.98, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row for each document and item that it leaks: doc_id, item_id, distance, n_words, start,
-    end (code points of the best window in the text)."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+def _indexes(benchmark: DataFrame, edits: float, recall: float, item_col: str, text_col: str) -> Iterator[Broadcast]:
+    """The benchmark's blocks, each as a broadcast index of at most about BLOCK_WORDS words."""
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.size(F.split("text", r"[^0-9A-Za-z\x80-\x{10FFFF}]+")))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_WORDS))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type, item_type = rows.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    out = None
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        index = spark.sparkContext.broadcast(Index(sorted(((r.item_id, r.text) for r in some), key=str), edits, recall))
-        found = rows.mapInArrow(_searcher(index), f"doc_id {id_type}, item_id {item_type}, distance int, n_words int, start long, end long")
-        out = found if out is None else out.unionByName(found)
-    return out
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted(((r.item_id, r.text) for r in some), key=str), edits, recall))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = 0.98, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row for each document and item that it leaks: doc_id, item_id, distance, n_words, start,
+    end (code points of the best window in the text)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, distance int, n_words int, start long, end long"
+    return reduce(DataFrame.unionByName, (rows.mapInArrow(_reporter(index), schema) for index in _indexes(benchmark, edits, recall, item_col, item_text_col)))
+
+
+def _leaks(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(row, item, distance, words, start, end) of each leak in a column of texts."""
+    sizes = pa.compute.binary_length(texts).to_numpy()
+    low = size = 0
+    for k in range(len(texts)):
+        size += int(sizes[k])
+        if size >= CHUNK or k == len(texts) - 1:
+            data = [t.as_buffer().to_pybytes() if t.as_buffer() else b"" for t in texts[low : k + 1]]
+            begins = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+            h, start, end = words(b"\n".join(data))
+            owner = np.searchsorted(begins, start, side="right") - 1
+            for t, length, item, distance in index.search(h, owner):
+                doc = int(owner[t])
+                text, shift = data[doc], int(begins[doc])
+                a = len(text[: int(start[t]) - shift].decode(errors="replace"))
+                b = a + len(text[int(start[t]) - shift : int(end[t + length - 1]) - shift].decode(errors="replace"))
+                yield low + doc, item, distance, length, a, b
+            low, size = k + 1, 0
+
+
+def _reporter(index: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(doc, name, *rest) for doc, item, *rest in _leaks(index.value, batch.column("text")) for name in index.value.names[item]]
+            if rows:
+                doc, name, distance, length, a, b = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), pa.array(name), pa.array(distance, pa.int32()), pa.array(length, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["doc_id", "item_id", "distance", "n_words", "start", "end"])
+
+    return run
 
 
-def _searcher(index):
+def _cleaner(index: Broadcast, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            sizes = pa.compute.binary_length(texts).to_numpy()
-            low = size = 0
-            for k in range(len(texts)):
-                size += int(sizes[k])
-                if size >= CHUNK or k == len(texts) - 1:
-                    data = [t.as_buffer().to_pybytes() if t.as_buffer() else b"" for t in texts[low : k + 1]]
-                    joined = b"\n".join(data)
-                    begins = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
-                    h, start, end = words(joined)
-                    owner = np.searchsorted(begins, start, side="right") - 1
-                    found = [(int(owner[t]), t, length, item, distance) for t, length, item, distance in index.value.search(h, owner)]
-                    rows = []
-                    for doc, t, length, item, distance in found:
-                        text, shift = data[doc], int(begins[doc])
-                        a = len(text[: int(start[t]) - shift].decode(errors="replace"))
-                        b = a + len(text[int(start[t]) - shift : int(end[t + length - 1]) - shift].decode(errors="replace"))
-                        rows += [(low + doc, name, distance, length, a, b) for name in index.value.names[item]]
-                    if rows:
-                        doc, name, distance, length, a, b = zip(*rows, strict=True)
-                        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), pa.array(name), pa.array(distance, pa.int32()), pa.array(length, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["doc_id", "item_id", "distance", "n_words", "start", "end"])
-                    low, size = k + 1, 0
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for row, *_ in _leaks(index.value, pa.compute.fill_null(batch.column(text_at), ""))]] = False
+            yield batch.filter(pa.array(clean))
 
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = 0.98, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that leak no item."""
-    leaked = find_leaks(docs, benchmark, edits, recall, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(leaked, id_col, "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = 0.98, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents that leak no item, with their columns. Rows are judged one by one as they are
+    read: no join, no shuffle, and ids play no part."""
+    out = docs
+    for index in _indexes(benchmark, edits, recall, item_col, item_text_col):
+        out = out.mapInArrow(_cleaner(index, docs.columns.index(text_col)), docs.schema)
+    return out

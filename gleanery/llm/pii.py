@@ -78,7 +78,7 @@ def _emails(text: str) -> Iterator[Span]:
 def base_spans(text: str) -> list[Span]:
     """Spans by kind as in KINDS, then start."""
     spans = list(_emails(text)) if "@" in text else []
-    spans += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    spans += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(d):
             spans.append(("card", *m.span()))

@@ -268,7 +268,8 @@ def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: in
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, planes: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that have a near copy with a smaller id in their class."""
+    """The documents without those that have a near copy with a smaller id in their class. Rows
+    that repeat an id are one document and stay or go together; rows with a null id stay."""
     classes = simhash_classes(docs, words=words, planes=planes, similarity=similarity, id_col=id_col, text_col=text_col)
     go = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(go, id_col, "left_anti")
+    return docs.join(go, id_col, "left_anti").select(*docs.columns)

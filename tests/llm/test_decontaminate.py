@@ -73,7 +73,9 @@ def test_recall_and_precision(spark):
     assert len(got) >= 0.95 * len(want) and all(got[k] >= want[k] for k in got)
     exact = {k for k, v in want.items() if v == 0}
     assert exact <= set(got)
-    left = {r.doc_id for r in d.decontaminate(docs, bench).collect()}
+    clean = d.decontaminate(docs, bench)
+    assert clean.columns == docs.columns
+    left = {r.doc_id for r in clean.collect()}
     assert left == {i for i, _ in rows} - {i for i, _ in got}
 
 
@@ -87,4 +89,5 @@ def test_edges(spark, monkeypatch):
         assert sorted((str(r.doc_id), r.item_id) for r in out) == sorted([*((i, x) for i in ("1", "1", "5", "None") for x in (7, 8, 9)), ("4", 9)])
     row = next(r for r in out if r.doc_id == 1 and r.item_id == 7)
     assert (row.start, row.end, row.n_words, row.distance) == (4, 4 + len(text), 12, 0)
-    assert d.find_leaks(docs.limit(0), bench).count() == 0 and d.find_leaks(docs, bench.limit(0)).count() == 0
+    assert sorted((str(r.doc_id), r.text) for r in d.decontaminate(docs, bench).collect()) == [("2", None), ("3", "")]
+    assert d.find_leaks(docs.limit(0), bench).count() == 0 and d.decontaminate(docs.limit(0), bench).count() == 0 and d.find_leaks(docs, bench.limit(0)).count() == 0
