@@ -60,21 +60,19 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("int")
 
 
-def hamming_keys(phash: Column, radius: int) -> Column:
-    """Keys of which two hashes within the radius share at least one: the bits are cut to
-    radius + k blocks, and of those at least k are equal, so every k of them is a key."""
-    blocks, chosen = _layout(radius)
-    width, parts, low = 64 / blocks, [], 0
-    for k in range(blocks):
-        high = round((k + 1) * width)
-        parts.append(F.shiftrightunsigned(phash, low).bitwiseAND(F.lit((1 << (high - low)) - 1).cast("long")))
-        low = high
-    return F.array(*[F.xxhash64(F.lit(n), *[parts[k] for k in some]) for n, some in enumerate(combinations(range(blocks), chosen))])
+def _key_masks(radius: int) -> list[int]:
+    """Masks of the bits of each key. The bits are cut to radius + k blocks, of which two hashes
+    within the radius agree in at least k; every k of them make a key. Small radii get longer keys."""
+    blocks, chosen = (radius + 2, 2) if radius <= 12 else (radius + 1, 1)
+    edges = [round(k * 64 / blocks) for k in range(blocks + 1)]
+    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:], strict=False)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    return [signed(sum(some)) for some in combinations(masks, chosen)]
 
 
-def _layout(radius: int) -> tuple[int, int]:
-    """Blocks, and how many make a key: small radii get longer keys."""
-    return (radius + 2, 2) if radius <= 12 else (radius + 1, 1)
+def hamming_keys(phash: Column, radius: int) -> Column:
+    """Keys of which two hashes within the radius share at least one."""
+    return F.array(*[F.xxhash64(F.lit(n), phash.bitwiseAND(F.lit(m).cast("long"))) for n, m in enumerate(_key_masks(radius))])
 
 
 def hamming_join(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
@@ -83,12 +81,15 @@ def hamming_join(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
     An equi-join on block keys, then the distance; a pair that shares several keys comes once,
     by the first key that it shares, so no distinct over pairs is needed.
     """
-    a = left.select("id_a", "hash_a", F.posexplode(hamming_keys(F.col("hash_a"), radius)).alias("k", "key")).withColumn("keys_a", hamming_keys(F.col("hash_a"), radius))
-    b = right.select("id_b", "hash_b", F.posexplode(hamming_keys(F.col("hash_b"), radius)).alias("kb", "key"))
-    near = a.join(b, "key").withColumn("distance", hamming(F.col("hash_a"), F.col("hash_b"))).where(F.col("distance") <= radius)
-    keys_b = hamming_keys(F.col("hash_b"), radius)
-    first = F.array_position(F.zip_with("keys_a", keys_b, lambda x, y: x == y), True) - 1
-    return near.where(F.col("k") == first).select("id_a", "id_b", "hash_a", "hash_b", "distance")
+    # Rows are few bytes and pairs are the work: they are spread before the keys are made.
+    a = left.repartition("id_a").select("id_a", "hash_a", F.posexplode(hamming_keys(F.col("hash_a"), radius)).alias("k", "key"))
+    b = right.select("id_b", "hash_b", F.explode(hamming_keys(F.col("hash_b"), radius)).alias("key"))
+    differ = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
+    first = F.when(F.lit(False), F.lit(0))
+    for n, m in enumerate(_key_masks(radius)):
+        first = first.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(n))
+    near = a.join(b, (a["key"] == b["key"]) & (F.bit_count(differ) <= radius)).where(F.col("k") == first)
+    return near.select("id_a", "id_b", "hash_a", "hash_b", hamming(F.col("hash_a"), F.col("hash_b")).alias("distance"))
 
 
 def first_match(queries: DataFrame, index: DataFrame, radius: int) -> DataFrame:
