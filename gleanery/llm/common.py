@@ -51,6 +51,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table. A table of fewer files or row groups than the session has cores is dealt
+    out to all of them, as the operators' work on a row is far more than moving it; larger tables
+    are read as they lie."""
+    docs = read(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def squeeze(text: Column) -> Column:
     """Text with every run of ASCII white space as one space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), _UNEVEN_WHITE, " ")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm.common import read
+from gleanery.llm.common import documents, read
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from gleanery.llm.simhash import simhash_classes
 
-    return simhash_classes(read(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    return simhash_classes(documents(spark, sf_dir), words=3, radius=3).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,19 +32,19 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from gleanery.llm.token_count import count_tokens
 
-    return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanery.llm.quality import quality_scores
 
-    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return quality_scores(documents(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanery.llm.pii import find_pii
 
-    return find_pii(read(spark, sf_dir, "documents"))
+    return find_pii(documents(spark, sf_dir))
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,19 +58,19 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanery.llm.linededup import repeated_passages
 
-    return repeated_passages(read(spark, sf_dir, "documents"))
+    return repeated_passages(documents(spark, sf_dir))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanery.llm.decontaminate import find_leaks
 
-    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return find_leaks(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanery.llm.mixing import mix
 
-    return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination, op10_mixing)}
