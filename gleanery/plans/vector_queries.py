@@ -157,7 +157,7 @@ def symmetry_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gradient_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sobel, Laplacian and Fourier measures of 8 x 8 grids, with the classes that follow."""
     grid = F.transform("embedding", lambda x: (x.cast("double") + 1) * 127.5)
-    m = table(spark, sf_dir, "embeddings").select("vec_id", image.gradient_measures(grid).alias("m")).select("vec_id", "m.*")
+    m = table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id").select("vec_id", image.gradient_measures(grid).alias("m")).select("vec_id", "m.*")
     return m.withColumn("complexity", image.complexity(F.col("edge_ratio"))).withColumn("composition", image.composition(1 - F.col("off_centre"), F.col("thirds") - 1, F.lit(0)))
 
 
@@ -165,7 +165,7 @@ def gradient_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_palette(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five colours of each vector's values as pixels of three."""
     pixels = F.transform("embedding", lambda x: x.cast("double") * 100)
-    return table(spark, sf_dir, "embeddings").select("vec_id", image.palette(pixels).alias("p")).select("vec_id", "p.*")
+    return table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id").select("vec_id", image.palette(pixels).alias("p")).select("vec_id", "p.*")
 
 
 @query("SELECT vec_id, list_filter(['base', 'wide', 'text', 'self'], lambda m: NOT list_contains(CASE vec_id % 3 WHEN 0 THEN ['base'] WHEN 1 THEN ['base', 'text'] ELSE ['wide', 'self'] END, m)) AS pending FROM embeddings")
