@@ -16,4 +16,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.gettempdir()
-    return f"{base.rstrip('/')}/gleanery-{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/gleanery-{context.applicationId}/{name}-{uuid.uuid4().hex}"
