@@ -115,11 +115,11 @@ SLUG = r"""p AS (SELECT page_id, url, list_extract(string_split(regexp_replace(r
 
 
 @query(rf"""WITH {SLUG} SELECT page_id, coalesce(nullif(regexp_extract(name, '^(\d+)', 1), ''), substr(md5(name), 1, 8)) AS slug_id, list_filter(parts, lambda x: regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$'))[1] AS resolution,
-    list_filter(parts[2:], lambda x: NOT regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$') AND NOT list_contains(['4k', 'hd', 'desktop', 'wallpaper', 'background', 'photo', 'image'], lower(x))) AS words FROM s""")
+    array_to_string(list_filter(parts[2:], lambda x: NOT regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$') AND NOT list_contains(['4k', 'hd', 'desktop', 'wallpaper', 'background', 'photo', 'image'], lower(x))), ' ') AS words FROM s""")
 def slug_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = html.file_name(F.col("url"))
     words = F.filter(F.slice(text.slug_parts(name), 2, 1 << 20), lambda p: ~p.rlike(r"^\d{3,5}x\d{3,5}$") & ~F.lower(p).isin(*text.SLUG_STOP_WORDS))
-    return table(spark, sf_dir, "pages").select("page_id", text.slug_id(name).alias("slug_id"), text.slug_resolution(name).alias("resolution"), words.alias("words"))
+    return table(spark, sf_dir, "pages").select("page_id", text.slug_id(name).alias("slug_id"), text.slug_resolution(name).alias("resolution"), F.array_join(words, " ").alias("words"))
 
 
 EXT = r"lower(regexp_replace(regexp_replace({0}, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''))"

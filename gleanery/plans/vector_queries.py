@@ -168,11 +168,11 @@ def kmeans_palette(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id").select("vec_id", image.palette(pixels).alias("p")).select("vec_id", "p.*")
 
 
-@query("SELECT vec_id, list_filter(['base', 'wide', 'text', 'self'], lambda m: NOT list_contains(CASE vec_id % 3 WHEN 0 THEN ['base'] WHEN 1 THEN ['base', 'text'] ELSE ['wide', 'self'] END, m)) AS pending FROM embeddings")
+@query("SELECT vec_id, array_to_string(list_filter(['base', 'wide', 'text', 'self'], lambda m: NOT list_contains(CASE vec_id % 3 WHEN 0 THEN ['base'] WHEN 1 THEN ['base', 'text'] ELSE ['wide', 'self'] END, m)), ',') AS pending FROM embeddings")
 def pending_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = F.array(*map(F.lit, ("base", "wide", "text", "self")))
     done = F.when(F.col("vec_id") % 3 == 0, F.array(F.lit("base"))).when(F.col("vec_id") % 3 == 1, F.array(F.lit("base"), F.lit("text"))).otherwise(F.array(F.lit("wide"), F.lit("self")))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.array_except(every, done).alias("pending"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.array_join(F.array_except(every, done), ",").alias("pending"))
 
 
 @query("SELECT label::VARCHAR AS category, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM embeddings), 2) AS share_pct FROM embeddings GROUP BY label")
