@@ -10,8 +10,11 @@ local group leave a task, and components are joined up by graph.components.
 Keys: for one 64-bit plane and a radius up to 3, sixteen keys of 28 bits that no near pair can
 miss (one of four 16-bit blocks is equal, and then one of four 12-bit parts of the rest). For
 wider fingerprints and radii, sampled bit keys whose length follows the logarithm of the number of
-fingerprints and whose number reaches a stated recall. A key with many fingerprints is cut into
-tiles, and pairs of tiles go to tasks of their own.
+fingerprints. Radius and number of keys together reach a stated recall at the similarity, and the
+pairs found are verified by the Jaccard similarity of their shingle sets: of pairs so near that they
+are all but sure, a spanning forest of each local group, of the others every pair that the forest
+leaves apart. A key with many fingerprints is cut into tiles, and pairs of tiles go to tasks of
+their own.
 
 Defined results: null and empty texts, and texts of white space only, have fingerprint zero and
 link to each other; a text with fewer words than a shingle is one shingle; repeated rows share a
@@ -38,6 +41,8 @@ TILE = 1024  # fingerprints of a key that meet in one task
 PAIRS = 1 << 21  # pairs looked at together in a task
 BUFFER = 1 << 15  # rows gathered before pairs are made
 N_PIVOTS = 16
+RADIUS_DEVIATIONS = 2.25  # of the distance at the similarity: its radius lies above the mean by these
+SURE_DEVIATIONS = 4.0  # and the distance at which pairs are all but sure below it by these
 
 
 def _mix(h: np.ndarray, salt: int) -> np.ndarray:
@@ -48,16 +53,25 @@ def _mix(h: np.ndarray, salt: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(text: str | None, words: int = 3, planes: int = 1) -> bytes:
-    """Big-endian planes of 64 bits; a bit is set if it's set in over half the shingle hashes."""
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The hash of each shingle; none of a text without words."""
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return bytes(8 * planes)
+        return np.zeros(0, np.uint64)
     digest, join = xxhash.xxh64_intdigest, b" ".join
     if len(tokens) < words:
-        hashes = np.array([digest(join(tokens), SEED)], np.uint64)
-    else:
-        hashes = np.fromiter((digest(join(s), SEED) for s in zip(*[tokens[k:] for k in range(words)])), np.uint64, len(tokens) - words + 1)
+        return np.array([digest(join(tokens), SEED)], np.uint64)
+    return np.fromiter((digest(join(s), SEED) for s in zip(*[tokens[k:] for k in range(words)])), np.uint64, len(tokens) - words + 1)
+
+
+def fingerprint(text: str | None, words: int = 3, planes: int = 1, distinct: bool = False) -> bytes:
+    """Big-endian planes of 64 bits; a bit is set if it's set in over half the shingle hashes, or
+    in over half the distinct ones."""
+    hashes = shingles(text, words)
+    if not len(hashes):
+        return bytes(8 * planes)
+    if distinct:
+        hashes = np.unique(hashes)
     out = []
     for p in range(planes):
         ones = np.zeros(64, np.int64)
@@ -69,16 +83,16 @@ def fingerprint(text: str | None, words: int = 3, planes: int = 1) -> bytes:
     return b"".join(out)
 
 
-def fingerprints(docs: DataFrame, words: int, planes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (binary)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def fingerprints(docs: DataFrame, words: int, planes: int, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+    """doc_id, fp (binary), text_key (a hash of the text)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array([fingerprint(t.as_py(), words, planes) for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            fps = pa.array([fingerprint(t.as_py(), words, planes, distinct) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps, batch.column("text_key")], ["doc_id", "fp", "text_key"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary, text_key long")
 
 
 def _matrix(column: pa.Array, planes: int) -> np.ndarray:
@@ -131,8 +145,8 @@ def near_pairs(fp: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray,
     return i[keep], j[keep]
 
 
-def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, reference: np.ndarray) -> np.ndarray:
-    """For rows sorted by group: the index of the least row that each is linked to, in its group.
+def _near_batches(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, reference: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For rows sorted by group: the pairs within the radius, some at a time.
 
     Partners of a row are the later rows of its group; where a group pairs two tiles (mixed),
     those on the other side only."""
@@ -140,7 +154,6 @@ def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarr
     table = pivot_table(fp, reference)
     ends = np.searchsorted(group, group, side="right")
     partners = ends - np.arange(n) - 1
-    label = np.arange(n)
     total = np.cumsum(partners)
     low = 0
     while low < n:
@@ -149,7 +162,14 @@ def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarr
         i = np.repeat(np.arange(low, high), count)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
         keep = ~mixed[i] | (side[i] != side[j])
-        i, j = near_pairs(fp, i[keep], j[keep], table, radius)
+        yield near_pairs(fp, i[keep], j[keep], table, radius)
+        low = high
+
+
+def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, reference: np.ndarray) -> np.ndarray:
+    """For rows sorted by group: the index of the least row that each is linked to, in its group."""
+    label = np.arange(len(group))
+    for i, j in _near_batches(fp, group, side, mixed, radius, reference):
         while len(i):
             least = np.minimum(label[i], label[j])
             open_ = (label[i] != least) | (label[j] != least)
@@ -159,14 +179,55 @@ def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarr
                 np.minimum.at(label, label[k], least)
                 np.minimum.at(label, k, least)
             label = label[label]
-        low = high
     while (label[label] != label).any():
         label = label[label]
     return label
 
 
-def _star_edges(rows: DataFrame, planes: int, radius: int) -> DataFrame:
-    """rows (key, lo, hi, tile, fp), each (key, lo, hi) in one partition and sorted -> (a, b)."""
+def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The labels (the least row of each row's class) after the classes of i and j are joined."""
+    while True:
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, sure: int, reference: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs to be verified: a spanning forest of the pairs within the distance `sure`, nearest
+    first, and all pairs within the radius that it leaves apart."""
+    label = np.arange(len(group))
+    for i, j in _near_batches(fp, group, side, mixed, radius, reference):
+        distance = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1, dtype=np.int16)
+        order = np.argsort(distance, kind="stable")
+        i, j = i[order], j[order]
+        close = int(np.searchsorted(distance[order], sure, side="right"))
+        a, b = i[:close], j[:close]
+        while True:
+            apart = label[a] != label[b]
+            if not apart.any():
+                break
+            a, b = a[apart], b[apart]
+            best = np.full(len(label), len(a))
+            for side_label in (label[a], label[b]):
+                np.minimum.at(best, side_label, np.arange(len(a)))
+            pick = np.unique(best[best < len(a)])
+            yield a[pick], b[pick]
+            label = _union(label, a[pick], b[pick])
+        i, j = i[close:], j[close:]
+        apart = label[i] != label[j]
+        yield i[apart], j[apart]
+
+
+def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = None) -> DataFrame:
+    """rows (key, lo, hi, tile, fp), each (key, lo, hi) in one partition and sorted -> (a, b).
+
+    With `sure`, pairs to be verified instead of stars."""
     reference = pivots(planes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +250,13 @@ def _star_edges(rows: DataFrame, planes: int, radius: int) -> DataFrame:
                 return
             column = table.column("fp").take(pa.array(pick)).combine_chunks()
             fp = _matrix(column, planes)
-            label = _linked(fp, group[pick], table.column("tile").to_numpy()[pick], (columns[1] != columns[2])[pick], radius, reference)
+            at = fp, group[pick], table.column("tile").to_numpy()[pick], (columns[1] != columns[2])[pick], radius
+            if sure is not None:
+                for i, j in _candidates(*at, sure, reference):
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([column.take(pa.array(i)), column.take(pa.array(j))], ["a", "b"])
+                return
+            label = _linked(*at, reference)
             own = np.flatnonzero(label != np.arange(len(label)))
             if len(own):
                 yield pa.RecordBatch.from_arrays([column.take(pa.array(own)), column.take(pa.array(label[own]))], ["a", "b"])
@@ -208,8 +275,9 @@ def _star_edges(rows: DataFrame, planes: int, radius: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Edges (a, b) that join up all distinct fingerprints (fp) within the radius that share a key."""
+def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.ndarray], np.ndarray], sure: int | None = None) -> DataFrame:
+    """Edges (a, b) that join up all distinct fingerprints (fp) within the radius that share a key;
+    with `sure`, the pairs to be verified (_candidates)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,39 +296,92 @@ def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.nd
     rows = rows.select("key", "tile", "fp", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
     rows = rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", "fp")
     rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return _star_edges(rows, planes, radius)
+    return _star_edges(rows, planes, radius, sure)
+
+
+def _flip(similarity: float) -> float:
+    """The share of bits in which two shingle sets of this Jaccard similarity and equal size differ;
+    sets of unequal size differ in fewer."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def similarity_radius(similarity: float, bits: int, deviations: float = 0.8) -> int:
+def similarity_radius(similarity: float, bits: int, deviations: float = RADIUS_DEVIATIONS) -> int:
     """The distance that pairs of this Jaccard similarity have on average, plus some deviations
     so that pairs just at the threshold are caught."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    p = _flip(similarity)
     return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
+def tables_for(similarity: float, planes: int, radius: int, bits: int, recall: float) -> int:
+    """Tables of `bits` sampled bits for which a pair at the similarity is within the radius and
+    shares a key with probability `recall`, over the binomial distribution of its distance."""
+    n, p = planes * 64, _flip(similarity)
+    d = np.arange(min(radius, n - bits) + 1)
+    log_comb = np.array([math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) for x in d])
+    chance = np.exp(log_comb + d * math.log(p) + (n - d) * math.log1p(-p))
+    if chance.sum() <= recall:
+        raise ValueError("the radius is too small for this recall")
+    share = np.prod([(n - d - k) / (n - k) for k in range(bits)], axis=0)
+    reached = lambda t: float((chance * -np.expm1(t * np.log1p(-np.minimum(share, 1 - 1e-15)))).sum()) >= recall
+    high = 1
+    while not reached(high):
+        high *= 2
+    low = high // 2
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if reached(middle) else (middle, high)
+    return high
+
+
+def similar_edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float, text_col: str) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have at least this Jaccard similarity. nodes: fp, text_key."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    wanted = stored(nodes.join(ends, "fp", "left_semi").select("fp", "text_key"), "near-nodes")
+    texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(wanted, "text_key")
+    texts = stored(texts.dropDuplicates(["fp"]).select("fp", "text"), "near-texts")
+    sides = pairs.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a")
+    sides = sides.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            like = []
+            for a, b in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
+                x, y = (np.unique(shingles(t.as_py(), words)) for t in (a, b))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                like.append(both > 0 and both + 1e-9 >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
+
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+
+
 def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: int = 1, similarity: float | None = None, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (binary), component_id: the smallest doc_id that links lead to.
 
     Without `similarity`: links at `radius` or fewer differing bits, and none is missed. With it,
-    planes * 64 bits stand for the Jaccard similarity of shingle sets, the radius follows from it,
-    and keys are sampled so that a pair at the threshold shares one with probability `recall`.
+    links between texts whose shingle sets have at least this Jaccard similarity: planes * 64 bits
+    of the distinct shingles find the pairs, radius and sampled keys together such that a pair at
+    the threshold is found with probability `recall`, and the sets themselves decide.
     """
-    prints = stored(fingerprints(docs, words, planes, id_col, text_col), "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
-    if similarity is None:
+    exact = similarity is None
+    prints = fingerprints(docs, words, planes, id_col, text_col, distinct=not exact)
+    prints = stored(prints.drop("text_key") if exact else prints, "fingerprints")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *[] if exact else [F.min("text_key").alias("text_key")]), "fingerprint-nodes")
+    if exact:
         if planes != 1 or radius > 3:
             raise ValueError("exact keys are for 64 bits and a radius up to 3")
-        keys = block_keys
+        edges = link_edges(nodes, planes, radius, block_keys)
     else:
         radius = similarity_radius(similarity, planes * 64)
-        equal = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
+        sure = max(0, similarity_radius(similarity, planes * 64, -SURE_DEVIATIONS))
         bits = min(60, max(8, math.ceil(math.log2(nodes.count() + 1)) - 1))
-        tables = math.ceil(math.log(1 - recall) / math.log(1 - equal**bits))
+        tables = tables_for(similarity, planes, radius, bits, recall)
 
         def keys(fp: np.ndarray) -> np.ndarray:
             return sampled_keys(fp, tables, bits)
 
-    roots = components(link_edges(nodes, planes, radius, keys))
+        edges = similar_edges(docs, nodes, link_edges(nodes, planes, radius, keys, sure), words, similarity, text_col)
+    roots = components(edges)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")

@@ -127,6 +127,23 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(groups)
 
 
+def test_similarity_at_its_threshold(spark):
+    """Pairs of 400 shingles with a shared beginning, so that their similarity is known."""
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"v{k}" for k in rng.integers(0, 1 << 40, n)]
+    rows, pairs = [], {}
+    for shared, n in ((356, 300), (368, 150), (342, 300)):  # similarity .802, .852, .747
+        for _ in range(n):
+            head = word(shared + 4)
+            for _ in range(2):
+                rows.append((len(rows), " ".join(head + word(400 - shared))))
+            pairs.setdefault(shared, []).append(len(rows) - 1)
+    left = {r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    gone = {shared: sum(i not in left for i in ids) / len(ids) for shared, ids in pairs.items()}
+    assert gone[356] >= 0.94 and gone[368] >= 0.97 and gone[342] == 0
+    assert all(i - 1 in left for ids in pairs.values() for i in ids)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_classes(none).count() == 0 and simhash.near_dedup(none).count() == 0
