@@ -6,14 +6,18 @@ words is at most `edits` times the item's length.
 
 The CGK random walk reads a sequence and emits, step by step, the word at its pointer; a random
 bit of (step, word) moves the pointer on or leaves it. Sequences of small edit distance so become
-strings of small Hamming distance, and tables of sampled steps bring them together: as many tables
-as reach the target recall. Windows that share a table's samples with an item of their length are
-verified by their exact edit distance.
+strings of small Hamming distance, and tables of sampled steps bring most of them together. Windows
+that share a table's samples with an item of their length are verified by their exact edit distance.
 
 Before the walk, windows are dropped that can't be leaks: by the q-gram lemma a leak with k edits
 shares all but 3k of its item's word triples, so a window with fewer triples of the benchmark than
 that is none. This drops no leak.
 
+The walks alone lose leaks with many edits, the more so the longer the item is. So every window that
+has as many triples of one item as a leak of it needs, and isn't settled yet, is then compared with
+that item: by a lower bound of the distances of all windows, from one pass over their words, and by
+the exact distance where the bound leaves it open. No leak is missed, and the distance is the least.
+
 The benchmark is broadcast in blocks of at most BLOCK_WORDS words; each block is a pass over the
 documents, so nothing depends on its size.
 
@@ -145,6 +149,9 @@ class Items:
     sequences: np.ndarray
     keys: np.ndarray
     owner: np.ndarray
+    grams: np.ndarray  # triples of the items, sorted
+    gram_item: np.ndarray
+    masks: list[dict[int, int] | None]  # where each word stands in an item; made when first needed
 
 
 class Index:
@@ -167,7 +174,10 @@ class Index:
             keys = embedding.keys(sequences)
             order = np.argsort(keys.ravel(), kind="stable")
             owner = np.tile(np.arange(len(sequences)), len(keys))[order]
-            self.by_length[length] = Items(embedding, sequences, keys.ravel()[order], owner), len(self.names)
+            grams_of = [np.unique(triples(h)) for h in sequences]
+            gram, gram_item = np.concatenate(grams_of), np.repeat(np.arange(len(sequences)), [len(x) for x in grams_of])
+            by_gram = np.argsort(gram, kind="stable")
+            self.by_length[length] = Items(embedding, sequences, keys.ravel()[order], owner, gram[by_gram], gram_item[by_gram], [None] * len(sequences)), len(self.names)
             self.names += [by_words[h.tobytes()] for h in by_length[length]]
             grams += [triples(h) for h in sequences]
         self.grams = np.unique(np.concatenate(grams)) if grams else np.zeros(0, _U)
@@ -202,6 +212,7 @@ class Index:
                 t = t[(count[t + length - 2] - count[t] >= needed(length, self.edits)) & (owner[t] == owner[t + length - 1])]
                 if len(t):
                     self._compare(h, owner, t, length, best)
+                    self._complete(h, g, hit, owner, t, length, best)
         for (_, item), (distance, t, length) in best.items():
             yield t, length, item, distance
 
@@ -232,6 +243,89 @@ class Index:
                     best[key] = (d, int(at[window[k]]), length)
 
 
+    def _complete(self, h: np.ndarray, g: np.ndarray, hit: np.ndarray, owner: np.ndarray, t: np.ndarray, length: int, best: dict) -> None:
+        """The windows at t against each item whose triples they have enough of, exactly."""
+        items, first = self.by_length[length]
+        limit, least, span = allowed(length, self.edits), needed(length, self.edits), length - 2
+        for low in range(0, len(t), 4096):
+            at = t[low : low + 4096]
+            inside = np.zeros(len(hit) + 1, np.int64)
+            np.add.at(inside, at, 1)
+            np.add.at(inside, at + span, -1)
+            places = np.flatnonzero((np.cumsum(inside)[:-1] > 0) & hit)
+            a, b = np.searchsorted(items.grams, g[places], "left"), np.searchsorted(items.grams, g[places], "right")
+            size = b - a
+            place = np.repeat(places, size)
+            item = items.gram_item[np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
+            order = np.lexsort((place, item))
+            place, item = place[order], item[order]
+            # A window has enough of an item's triples if some `least` of them in a row lie within it.
+            n = len(place) - least + 1
+            if n < 1:
+                continue
+            start = np.flatnonzero((item[:n] == item[least - 1 :]) & (place[least - 1 :] - place[:n] < span))
+            if not len(start):
+                continue
+            # Windows from the last one's place - span + 1 to the first one's place; `at` is sorted.
+            a, b = np.searchsorted(at, place[start + least - 1] - span + 1, "left"), np.searchsorted(at, place[start], "right")
+            size = np.maximum(b - a, 0)
+            window = np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            pairs = np.unique(np.repeat(item[start], size) * len(at) + window)
+            which, window = pairs // len(at), at[pairs % len(at)]
+            cut = np.flatnonzero((which[1:] != which[:-1]) | (owner[window[1:]] != owner[window[:-1]])) + 1
+            for some, k in zip(np.split(window, cut), which[np.concatenate([[0], cut]).astype(int)] if len(which) else [], strict=False):
+                key = (int(owner[some[0]]), first + int(k))
+                have = best.get(key)
+                bound = min(limit, have[0] - 1) if have else limit
+                if bound < 0:
+                    continue
+                if limit == 0:
+                    same = some[(h[some[:, None] + np.arange(length)] == items.sequences[k]).all(1)]
+                    if len(same):
+                        best[key] = (0, int(same[0]), length)
+                    continue
+                if items.masks[k] is None:
+                    items.masks[k] = places_of(items.sequences[k])
+                text = h[some[0] : some[-1] + length].tolist()
+                bounds = np.array(myers(items.masks[k], length, text, True))[some - some[0] + length - 1]
+                for w in np.argsort(bounds, kind="stable"):
+                    if bounds[w] > bound:
+                        break
+                    shift = int(some[w] - some[0])
+                    d = myers(items.masks[k], length, text[shift : shift + length], False)[-1]
+                    if d <= bound:
+                        best[key] = (d, int(some[w]), length)
+                        bound = d - 1
+
+
+def places_of(sequence: np.ndarray) -> dict[int, int]:
+    """For each word, a bit for each place that it stands at."""
+    out: dict[int, int] = {}
+    for k, x in enumerate(sequence.tolist()):
+        out[x] = out.get(x, 0) | 1 << k
+    return out
+
+
+def myers(places: dict[int, int], length: int, text: list[int], anywhere: bool) -> list[int]:
+    """For each end in the text, the edit distance of the item to the text up to there: to the
+    whole of it, or to its nearest part that ends there (bit-parallel columns after Myers)."""
+    full, top = (1 << length) - 1, 1 << (length - 1)
+    up, down, score, out = full, 0, length, []
+    for x in text:
+        eq = places.get(x, 0)
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = down | (full & ~(xh | up))
+        mh = up & xh
+        score += bool(ph & top) - bool(mh & top)
+        ph = (ph << 1 | (not anywhere)) & full
+        mh = mh << 1 & full
+        up = mh | (full & ~(xv | ph))
+        down = ph & xv
+        out.append(score)
+    return out
+
+
 def edit_distance(a: list[int], b: list[int], bound: int) -> int:
     """The edit distance, or bound + 1 if it's greater."""
     n, m = len(a), len(b)

@@ -1,6 +1,7 @@
 """Decontamination: recall against exhaustive edit distance, and no false hits."""
 
 import numpy as np
+import pyarrow as pa
 
 from gleanery.llm import decontaminate as d
 
@@ -79,6 +80,31 @@ def test_recall_and_precision(spark):
     assert left == {i for i, _ in rows} - {i for i, _ in got}
 
 
+def test_columns_of_distances_are_exact():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = rng.integers(0, 4, rng.integers(3, 80)), rng.integers(0, 4, rng.integers(1, 90)).tolist()
+        places = d.places_of(a)
+        assert d.myers(places, len(a), b, False)[-1] == levenshtein(a.tolist(), b)
+        assert d.myers(places, len(a), b[:20], True)[-1] == min(levenshtein(a.tolist(), b[:20][k:]) for k in range(len(b[:20]) + 1))
+
+
+def test_no_leak_of_a_long_item_is_lost_at_the_edit_limit():
+    rng = np.random.default_rng(6)
+    for n in (20, 57, 100, 300):
+        items = [words_of(rng, n) for _ in range(20)]
+        index = d.Index([(k, " ".join(w)) for k, w in enumerate(items)], d.EDITS, 0.98)
+        texts = []
+        for item in items:
+            leak = list(item)
+            for at in rng.choice(n, d.allowed(n, d.EDITS), replace=False):
+                leak[at] = "edit"
+            texts.append(" ".join(words_of(rng, 30) + leak + words_of(rng, 30)))
+        found = {(row, index.names[item][0]): distance for row, item, distance, *_ in d._leaks(index, pa.array(texts))}
+        assert set(found) == {(k, k) for k in range(20)}
+        assert all(v <= d.allowed(n, d.EDITS) for v in found.values())
+
+
 def test_edges(spark, monkeypatch):
     text = "the quick brown fox jumps over the lazy dog again and again"
     docs = spark.createDataFrame([(1, f"é é {text} end"), (None, text.upper()), (2, None), (3, ""), (4, "the quick brown fox"), (1, f"é é {text} end"), (5, "pad " * 50_000 + text)], "doc_id long, text string")
