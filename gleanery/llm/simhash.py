@@ -170,17 +170,7 @@ def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarr
     """For rows sorted by group: the index of the least row that each is linked to, in its group."""
     label = np.arange(len(group))
     for i, j in _near_batches(fp, group, side, mixed, radius, reference):
-        while len(i):
-            least = np.minimum(label[i], label[j])
-            open_ = (label[i] != least) | (label[j] != least)
-            if not open_.any():
-                break
-            for k in (i, j):
-                np.minimum.at(label, label[k], least)
-                np.minimum.at(label, k, least)
-            label = label[label]
-    while (label[label] != label).any():
-        label = label[label]
+        label = _union(label, i, j)
     return label
 
 

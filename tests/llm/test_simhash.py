@@ -144,6 +144,13 @@ def test_similarity_at_its_threshold(spark):
     assert all(i - 1 in left for ids in pairs.values() for i in ids)
 
 
+def test_links_of_earlier_batches_hold(monkeypatch):
+    batches = [([0, 1, 2, 2], [6, 7, 4, 5]), ([4, 5], [6, 7])]
+    monkeypatch.setattr(simhash, "_near_batches", lambda *_: (tuple(np.array(x) for x in b) for b in batches))
+    label = simhash._linked(np.zeros((8, 1), np.uint64), np.zeros(8, np.int64), *[None] * 4)
+    assert label.tolist() == [0, 0, 0, 3, 0, 0, 0, 0]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_classes(none).count() == 0 and simhash.near_dedup(none).count() == 0
