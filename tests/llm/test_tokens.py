@@ -1,6 +1,7 @@
 """Token counts, ids and Re-Pair files against the tokenizers library."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -39,13 +40,26 @@ def test_texts_agree():
         assert np.frombuffer(encoder.encode(t), encoder.kind).tolist() == ids(t), t
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sdtlv.,!a1é漢<|>_"), st.characters(exclude_categories=["Cs"])), max_size=60))
+FORGETFUL, STEADY = bpe.IdEncoder(PATH, remembered=4), bpe.IdEncoder(PATH, remembered=5000)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sdtlv.,!a1é漢<|>_\u00a0"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_any_text_agrees(text):
     want = ids(text)
     assert counter(VOCABULARY, PROVEN, remembered=4)(text) == len(want)
-    encoder = bpe.IdEncoder(PATH, remembered=4)
-    assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == want
+    for encoder in (FORGETFUL, STEADY):
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(" \n\t\r'stl.,(!a1é漢\u00a0\u3000\u2003\u0301\x1c\x00|"), max_size=25), max_size=12))
+def test_batches_agree(texts):
+    data = [t.encode() for t in texts]
+    for encoder in (FORGETFUL, STEADY):
+        found, counts = encoder.encode_batch(b"".join(data), np.array([len(d) for d in data], np.int64))
+        want = [ids(t) for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and found.tolist() == [x for w in want for x in w]
 
 
 def test_long_merges_agree_with_short_ones():
@@ -70,9 +84,15 @@ def test_repair_round_trip(least, base):
     rng = np.random.default_rng(least)
     sizes = np.array([1, 5000, 1, 700, 2, 1])
     data = np.concatenate([np.array([7] * 3000), rng.choice([1, 2, 3, 299], 2000), rng.integers(0, base, sizes.sum() - 5000)])
-    s = repair.compress(data, sizes, base, rounds=6, per_round=50, least=least)
+    s = repair.compress(data, sizes, base, least=least)
     expander = repair.Expander(s.base, s.rules, s.lengths)
     assert (expander.expand(s.symbols) == data).all() and s.n_symbols.sum() == len(s.symbols) < len(data)
+    begins = np.concatenate([[0], np.cumsum(s.n_symbols)])
+    inside = np.ones(len(s.symbols), bool)
+    inside[begins[1:] - 1] = False
+    pairs = Counter((int(a), int(b)) for a, b, x in zip(s.symbols, s.symbols[1:], inside, strict=False) if x)
+    assert all(n < least or a == b for (a, b), n in pairs.items())  # none is frequent still (aaa has two pairs, one of them usable)
+    assert (repair.join_bits(*repair.split_bits(s.symbols)) == s.symbols).all()
     begin = 0
     for n, k in zip(sizes, s.n_symbols, strict=True):  # pairs never cross documents
         assert expander.lengths[s.symbols[begin : begin + k]].sum() == n
@@ -90,10 +110,32 @@ def test_files_round_trip(spark, monkeypatch):
     repair.write_shards(df, path, PATH, shard_ids=200)
     assert spark.read.parquet(path).count() > 3
     out = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in repair.read_shards(spark, path).collect())
+    # Rows that repeat an id stand next to each other, in an order of their own.
     want, start = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    turn = {d: k for k, (_, d) in enumerate(dict.fromkeys((r[1], r[3]) for r in out if r[1] == 3))}
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, turn[zlib.crc32(np.array(ids(r[1]) + [0], "<u4").tobytes())] if r[0] == 3 else 0)):
         x = ids(t or "") + [0]
         want.append((start, i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())))
         start += len(x)
     assert out == want
+    for i, t in rows:
+        if i != 3:
+            x = ids(t or "") + [0]
+            assert repair.read_document(spark, path, i) == x
+            assert repair.read_document(spark, path, i, 1, 4) == x[1:4]
+    with pytest.raises(KeyError):
+        repair.read_document(spark, path, -5)
     assert repair.token_output(df.limit(0), PATH).count() == 0
+
+
+def test_equal_ids_are_divided(spark):
+    """A third of all rows without an id, and a third with one id, still fall into many ranges."""
+    from gleanery.llm.common import scratch_path
+
+    df = spark.range(3000).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end as doc_id", "repeat(cast(id % 50 as string), 20) as text")
+    path = scratch_path(spark, "shards")
+    repair.write_shards(df, path, PATH)
+    sizes = [r.n for r in spark.read.parquet(path).selectExpr("size(doc_ids) as n").collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1000
+    out = repair.read_shards(spark, path)
+    assert out.count() == 3000 and out.select("start").distinct().count() == 3000
