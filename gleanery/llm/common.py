@@ -38,15 +38,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gleanery-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as a table in the shared folder and read it again: this cuts its lineage, and a
     lost executor costs a read of files instead of a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys that hold more than one of so many parts of all rows count as heavy, so there are no more of them than that.
+HEAVY = 4096
+
+
+def heavy_keys(counts: DataFrame, key: str, n: str, total: int, least: int = 1000) -> DataFrame:
+    """(key, deals) of the keys with more than 1 / HEAVY of `total` rows, and more than `least`:
+    at most HEAVY rows, as their counts add up to the total. deals: the parts to deal their rows out to."""
+    share = max(least, -(-total // HEAVY))
+    return counts.where(F.col(n) > share).select(key, F.ceil(F.col(n) / share).cast("int").alias("deals"))
+
+
+def spread_join(rows: DataFrame, entries: DataFrame, key: str, heavy: DataFrame, by: Column, how: str = "inner") -> DataFrame:
+    """rows joined to entries on `key`, where entries has one row a key. The rows of a heavy key are
+    dealt out by the hash `by`, and its entry goes to each part; the broadcast has at most HEAVY rows."""
+    heavy = F.broadcast(heavy.select(F.col(key), F.col("deals").alias("gleanery__deals")))
+    rows = rows.join(heavy, key, "left").withColumn("gleanery__deal", F.coalesce(F.pmod(by, F.col("gleanery__deals")), F.lit(0)).cast("int")).drop("gleanery__deals")
+    entries = entries.join(heavy, key, "left").withColumn("gleanery__deal", F.explode(F.sequence(F.lit(0), F.coalesce("gleanery__deals", F.lit(1)) - 1))).drop("gleanery__deals")
+    return rows.join(entries.hint("merge"), [key, "gleanery__deal"], how).drop("gleanery__deal")
+
+
+def text_key(text: Column) -> Column:
+    """A hash that tells rows of one id, or of none, apart: rows equal in id and text are one document."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def whole_row(columns: list[str]) -> Column:
+    """A row's columns as text, by which equal rows can be put in order."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

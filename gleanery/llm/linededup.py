@@ -2,16 +2,17 @@
 
 A text is cut to units: its lines, and within lines its sentences. Each unit is normalised (white
 space, ASCII case) and hashed to 128 bits. Over all documents, the occurrence of a digest with
-the least (doc_id, offset) is the first; every other one is a repeat. Neighbouring repeats are a
-passage; passages of at least `min_words` words are removed, and their offsets in the original
-text are kept. Units without a letter or digit belong to no count of words and break no passage.
+the least (doc_id, hash of the text, offset) is the first; every other one is a repeat. Neighbouring
+repeats are a passage; passages of at least `min_words` words are removed, and their offsets in the
+original text are kept. Units without a letter or digit belong to no count of words and break no passage.
 
 Digests are counted with partial aggregation and only those that occur twice or more are joined
-back, so a line that very many documents share is a skewed join side and never one task's group.
+back; the units of a very common digest are dealt out to many tasks (common.spread_join).
 
-Defined results: null and empty texts have no units; of repeated rows with one id, units at equal
-offsets are told apart by nothing and count as one occurrence, so they don't repeat each other;
-rows with a null id rank last; an empty table gives an empty result; other columns are ignored.
+Defined results: null and empty texts have no units; rows equal in id and text are one document,
+whose units don't repeat each other, and lose the same passages; rows with one id and different
+texts are documents of their own, and so are rows without an id, which rank last; an empty table
+gives an empty result; other columns are ignored, but a column `removed` is replaced.
 """
 
 from __future__ import annotations
@@ -19,42 +20,38 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanery.llm.common import stored
+from gleanery.llm.common import heavy_keys, spread_join, stored, text_key
 
 MIN_WORDS = 20
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 
 
+_END = re.compile(r"[.!?](?= )|\n")
+_EDGE = " \t\r\x0b\x0c"
+
+
 def units(text: str) -> Iterator[tuple[int, int, bytes, int]]:
     """(start, end, digest, words) of each unit; code points, without white space around it."""
-    at = 0
-    for line in text.split("\n"):
-        low = 0
-        while low < len(line):
-            high = len(line)
-            for mark in (". ", "! ", "? "):
-                k = line.find(mark, low, high)
-                if k >= 0:
-                    high = k + 1
-            unit = line[low:high]
-            body = unit.strip(" \t\r\x0b\x0c")
-            if body:
-                words = body.encode("utf-8", "surrogatepass").lower().split()
-                start = at + low + len(unit) - len(unit.lstrip(" \t\r\x0b\x0c"))
-                yield start, start + len(body), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), sum(1 for w in words if _WORD.search(w))
-            low = high
-        at += len(line) + 1
+    low = 0
+    for high, after in chain(((m.start() + (m[0] != "\n"), m.end()) for m in _END.finditer(text)), [(len(text), len(text))]):
+        body = text[low:high].strip(_EDGE)
+        if body:
+            words = body.encode("utf-8", "surrogatepass").lower().split()
+            start = high - len(text[low:high].lstrip(_EDGE))
+            yield start, start + len(body), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), sum(1 for w in words if _WORD.search(w))
+        low = after
 
 
 def unit_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_key(F.col(text_col)).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,37 +63,42 @@ def unit_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 found += [(n, *u) for n, u in enumerate(some)]
             if found:
                 number, start, end, digest, words = zip(*found, strict=True)
-                ids = batch.column("doc_id").take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(digest, pa.binary()), pa.array(words, pa.int32())], ["doc_id", "unit", "start", "end", "digest", "words"])
+                ids, keys = (batch.column(c).take(pa.array(owner)) for c in ("doc_id", "text_key"))
+                yield pa.RecordBatch.from_arrays([ids, keys, pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(digest, pa.binary()), pa.array(words, pa.int32())], ["doc_id", "text_key", "unit", "start", "end", "digest", "words"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, unit int, start long, end long, digest binary, words int")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, unit int, start long, end long, digest binary, words int")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each removed passage: doc_id, start, end, n_units, n_words, first_doc_id, first_start.
+    """One row for each removed passage: doc_id, text_key, start, end, n_units, n_words, first_doc_id, first_start.
 
-    first_doc_id and first_start: where the passage's first unit occurs first.
+    first_doc_id and first_start: where the passage's first unit occurs first. text_key tells rows
+    of one id apart.
     """
     found = stored(unit_table(docs, id_col, text_col), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("start").alias("start"))
-    groups = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    groups = groups.select("digest", "first")
-    hits = found.join(groups.hint("merge"), "digest").where(rank != F.col("first"))
-    hits = hits.select("doc_id", "unit", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")).distinct()
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "start")
+    groups = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"), F.count("*").alias("n"))
+    groups = stored(groups.where("first <> last").select("digest", "first", "n"), "unit-groups")
+    heavy = heavy_keys(groups, "digest", "n", found.count())
+    hits = spread_join(found, groups, "digest", heavy, F.xxhash64("text_key", "start")).where(rank != F.col("first"))
+    hits = hits.select("doc_id", "text_key", "unit", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")).distinct()
     # Islands of consecutive unit numbers within a document.
-    in_doc = Window.partitionBy("doc_id").orderBy("unit", "start")
+    in_doc = Window.partitionBy("doc_id", "text_key").orderBy("unit", "start")
     hits = hits.withColumn("island", F.col("unit") - F.dense_rank().over(in_doc))
-    passages = hits.groupBy("doc_id", "island").agg(
+    passages = hits.groupBy("doc_id", "text_key", "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_units"), F.sum("words").alias("n_words"),
         F.min_by(F.struct("first_doc_id", "first_start"), "start").alias("first"),
     )
-    return passages.where(F.col("n_words") >= min_words).select("doc_id", "start", "end", "n_units", "n_words", F.col("first.first_doc_id").alias("first_doc_id"), F.col("first.first_start").alias("first_start"))
+    return passages.where(F.col("n_words") >= min_words).select("doc_id", "text_key", "start", "end", "n_units", "n_words", F.col("first.first_doc_id").alias("first_doc_id"), F.col("first.first_start").alias("first_start"))
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the passages, with `removed`: the original offsets of what went."""
-    spans = passages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    rows = docs.join(spans.withColumnRenamed("doc_id", id_col), id_col, "left")
+    """The documents without the passages, with `removed`: the original offsets of what went, null if
+    nothing did. A column of that name is replaced."""
+    spans = passages.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gleanery__removed"))
+    spans = spans.withColumnsRenamed({"doc_id": "gleanery__id", "text_key": "gleanery__key"})
+    rows = docs.join(spans, docs[id_col].eqNullSafe(spans["gleanery__id"]) & (text_key(docs[text_col]) == spans["gleanery__key"]), "left")
+    rows = rows.withColumn("removed", F.col("gleanery__removed")).drop("gleanery__removed", "gleanery__id", "gleanery__key")
     text = F.col(text_col)
     kept = F.aggregate(
         F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")),

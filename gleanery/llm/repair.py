@@ -216,7 +216,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     Rows that repeat an id, or have none, are told apart by a hash of their text and the order of
     the written ids, so that however many they are, ranges divide them."""
     spark = docs.sparkSession
-    ids = stored(encoded(docs, tokenizer_path, id_col, text_col, end).withColumn("row", F.monotonically_increasing_id()), "ids")
+    ids = stored(encoded(docs, tokenizer_path, id_col, text_col, end).withColumn("row", F.monotonically_increasing_id()), "ids", "zstd")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-plan_bytes(ids) // PART_BYTES))
     rows = ids.repartitionByRange(parts, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row").drop("tie", "row")
     id_type = rows.schema["doc_id"].dataType

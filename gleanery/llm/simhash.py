@@ -1,19 +1,21 @@
 """SimHash near-dedup with pivot distance tables.
 
-Fingerprints of documents are deduplicated first, so copies of a text cost one row. A key table
-then brings together fingerprints that may be near; within a key, each fingerprint has a row of
-precomputed Hamming distances to reference fingerprints (the pivots). By the triangle inequality
-a pair whose rows differ by more than the radius in any coordinate can't be near and is discarded;
-the survivors are verified by their own distance. Only star edges to the least fingerprint of each
-local group leave a task, and components are joined up by graph.components.
+Fingerprints of documents are deduplicated first, so copies of a text cost one row, a node. The
+pivot table is made once, with a row for each node: its Hamming distances to reference fingerprints
+(the pivots). A key table brings together nodes that may be near, each with its row of the table.
+Within a key, nodes are ordered by their first coordinate, and only pairs whose first coordinates
+differ by the radius at most are made; by the triangle inequality no others can be near. Pairs whose
+rows differ by more in any other coordinate are discarded, and the survivors are verified by their
+own distance. Only star edges to the least node of each local group leave a task, and components are
+joined up by graph.components.
 
 Keys: for one 64-bit plane and a radius up to 3, sixteen keys of 28 bits that no near pair can
 miss (one of four 16-bit blocks is equal, and then one of four 12-bit parts of the rest). For
 wider fingerprints and radii, sampled bit keys whose length follows the logarithm of the number of
-fingerprints. Radius and number of keys together reach a stated recall at the similarity, and the
-pairs found are verified by the Jaccard similarity of their shingle sets: of pairs so near that they
-are all but sure, a spanning forest of each local group, of the others every pair that the forest
-leaves apart. A key with many fingerprints is cut into tiles, and pairs of tiles go to tasks of
+nodes. Radius and number of keys together reach a stated recall at the similarity, whatever the
+length, and the pairs found are verified by the Jaccard similarity of their shingle sets: of pairs so
+near that they are all but sure, a spanning forest of each local group, of the others every pair that
+the forest leaves apart. A key with many nodes is cut into tiles, and pairs of tiles go to tasks of
 their own.
 
 Defined results: null and empty texts, and texts of white space only, have fingerprint zero and
@@ -32,15 +34,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from gleanery.llm.common import stored
+from gleanery.llm.common import heavy_keys, spread_join, stored, text_key, whole_row
 from gleanery.llm.graph import components
 
 SEED = 42
 TILE = 1024  # fingerprints of a key that meet in one task
 PAIRS = 1 << 21  # pairs looked at together in a task
 BUFFER = 1 << 15  # rows gathered before pairs are made
-N_PIVOTS = 16
+N_PIVOTS = 16  # for one plane; fewer for wide fingerprints, whose radius lets pivots discard little
 RADIUS_DEVIATIONS = 2.25  # of the distance at the similarity: its radius lies above the mean by these
 SURE_DEVIATIONS = 4.0  # and the distance at which pairs are all but sure below it by these
 
@@ -85,7 +88,7 @@ def fingerprint(text: str | None, words: int = 3, planes: int = 1, distinct: boo
 
 def fingerprints(docs: DataFrame, words: int, planes: int, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """doc_id, fp (binary), text_key (a hash of the text)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,8 +128,9 @@ def sampled_keys(fp: np.ndarray, tables: int, bits: int, seed: int = SEED) -> np
     return keys
 
 
-def pivots(planes: int, n: int = N_PIVOTS) -> np.ndarray:
+def pivots(planes: int, n: int | None = None) -> np.ndarray:
     """Reference fingerprints: fixed pseudo-random bits."""
+    n = n or max(1, N_PIVOTS // planes)
     return _mix(np.arange(1, n * planes + 1, dtype=np.uint64), 7).reshape(n, planes)
 
 
@@ -145,14 +149,14 @@ def near_pairs(fp: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray,
     return i[keep], j[keep]
 
 
-def _near_batches(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, reference: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For rows sorted by group: the pairs within the radius, some at a time.
+def _near_batches(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For rows sorted by group and first coordinate: the pairs within the radius, some at a time.
 
-    Partners of a row are the later rows of its group; where a group pairs two tiles (mixed),
-    those on the other side only."""
+    Partners of a row are the later rows of its group whose first coordinate is within the radius;
+    where a group pairs two tiles (mixed), those on the other side only."""
     n = len(group)
-    table = pivot_table(fp, reference)
-    ends = np.searchsorted(group, group, side="right")
+    place = group * (1 << 16) + table[:, 0]
+    ends = np.searchsorted(place, place + radius, side="right")
     partners = ends - np.arange(n) - 1
     total = np.cumsum(partners)
     low = 0
@@ -162,14 +166,14 @@ def _near_batches(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np
         i = np.repeat(np.arange(low, high), count)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
         keep = ~mixed[i] | (side[i] != side[j])
-        yield near_pairs(fp, i[keep], j[keep], table, radius)
+        yield near_pairs(fp, i[keep], j[keep], table[:, 1:], radius)
         low = high
 
 
-def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, reference: np.ndarray) -> np.ndarray:
-    """For rows sorted by group: the index of the least row that each is linked to, in its group."""
+def _linked(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, table: np.ndarray) -> np.ndarray:
+    """For rows sorted by group and first coordinate: the index of the least row that each is linked to, in its group."""
     label = np.arange(len(group))
-    for i, j in _near_batches(fp, group, side, mixed, radius, reference):
+    for i, j in _near_batches(fp, group, side, mixed, radius, table):
         label = _union(label, i, j)
     return label
 
@@ -188,11 +192,11 @@ def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, sure: int, reference: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, sure: int, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs to be verified: a spanning forest of the pairs within the distance `sure`, nearest
     first, and all pairs within the radius that it leaves apart."""
     label = np.arange(len(group))
-    for i, j in _near_batches(fp, group, side, mixed, radius, reference):
+    for i, j in _near_batches(fp, group, side, mixed, radius, table):
         distance = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1, dtype=np.int16)
         order = np.argsort(distance, kind="stable")
         i, j = i[order], j[order]
@@ -214,11 +218,25 @@ def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.n
         yield i[apart], j[apart]
 
 
+def pivot_distances(nodes: DataFrame, planes: int) -> DataFrame:
+    """nodes with `pivots`, their rows of the pivot table: two bytes a coordinate."""
+    reference = pivots(planes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                table = pivot_table(_matrix(batch.column("fp"), planes), reference).astype("<i2")
+                rows = pa.Array.from_buffers(pa.binary(), len(table), [None, pa.py_buffer(np.arange(0, 2 * table.size + 1, 2 * table.shape[1], dtype=np.int32)), pa.py_buffer(table.tobytes())])
+                yield pa.RecordBatch.from_arrays([*batch.columns, rows], [*batch.schema.names, "pivots"])
+
+    return nodes.mapInArrow(run, StructType([*nodes.schema.fields]).add("pivots", "binary"))
+
+
 def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = None) -> DataFrame:
-    """rows (key, lo, hi, tile, fp), each (key, lo, hi) in one partition and sorted -> (a, b).
+    """rows (key, lo, hi, tile, node, fp, pivots), each (key, lo, hi) in one partition and sorted
+    -> (a, b), numbers of nodes.
 
     With `sure`, pairs to be verified instead of stars."""
-    reference = pivots(planes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -238,18 +256,21 @@ def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = No
             pick = np.flatnonzero(sizes > 1)
             if not len(pick):
                 return
-            column = table.column("fp").take(pa.array(pick)).combine_chunks()
-            fp = _matrix(column, planes)
+            rows_of = np.frombuffer(b"".join(table.column("pivots").take(pa.array(pick)).to_pylist()), "<i2").reshape(len(pick), -1)
+            order = np.lexsort((rows_of[:, 0], group[pick]))
+            pick, rows_of = pick[order], rows_of[order]
+            fp = _matrix(table.column("fp").take(pa.array(pick)).combine_chunks(), planes)
+            node = table.column("node").to_numpy()[pick]
             at = fp, group[pick], table.column("tile").to_numpy()[pick], (columns[1] != columns[2])[pick], radius
             if sure is not None:
-                for i, j in _candidates(*at, sure, reference):
+                for i, j in _candidates(*at, sure, rows_of):
                     if len(i):
-                        yield pa.RecordBatch.from_arrays([column.take(pa.array(i)), column.take(pa.array(j))], ["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
                 return
-            label = _linked(*at, reference)
+            label = _linked(*at, rows_of)
             own = np.flatnonzero(label != np.arange(len(label)))
             if len(own):
-                yield pa.RecordBatch.from_arrays([column.take(pa.array(own)), column.take(pa.array(label[own]))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[label[own]])], ["a", "b"])
 
         n = 0
         for batch in batches:
@@ -262,29 +283,30 @@ def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = No
         if held:
             yield from flush(True)
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.ndarray], np.ndarray], sure: int | None = None) -> DataFrame:
-    """Edges (a, b) that join up all distinct fingerprints (fp) within the radius that share a key;
+    """Edges (a, b) that join up all nodes (node, fp, pivots) within the radius that share a key;
     with `sure`, the pairs to be verified (_candidates)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 2048):
-                column = batch.column("fp").slice(low, 2048)
-                if len(column):
-                    k = keys(_matrix(column, planes))
-                    repeated = column.take(pa.array(np.repeat(np.arange(len(column)), k.shape[1])))
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), repeated], ["key", "fp"])
-
-    keyed = nodes.select("fp").mapInArrow(run, "key long, fp binary")
-    # Keys with more fingerprints than a tile: written, so that their size is known to the planner.
-    heavy = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "heavy-keys")
+                part = batch.slice(low, 2048)
+                if part.num_rows:
+                    k = keys(_matrix(part.column("fp"), planes))
+                    again = pa.array(np.repeat(np.arange(part.num_rows), k.shape[1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), *[part.column(c).take(again) for c in ("node", "fp", "pivots")]], ["key", "node", "fp", "pivots"])
+
+    # The keys alone are counted first; written, so that the number of those with more nodes than a tile is known to the planner.
+    only = nodes.select("node", "fp", F.lit(b"").alias("pivots")).mapInArrow(run, "key long, node long, fp binary, pivots binary").select("key")
+    heavy = stored(only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "heavy-keys")
+    keyed = nodes.select("node", "fp", "pivots").mapInArrow(run, "key long, node long, fp binary, pivots binary")
     rows = keyed.join(heavy, "key", "left").withColumn("tiles", F.ceil(F.coalesce("n", F.lit(1)) / TILE).cast("int"))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    rows = rows.select("key", "tile", "fp", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
-    rows = rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", "fp")
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    rows = rows.select("key", "tile", "node", "fp", "pivots", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
+    rows = rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", "node", "fp", "pivots")
     rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return _star_edges(rows, planes, radius, sure)
 
@@ -324,14 +346,14 @@ def tables_for(similarity: float, planes: int, radius: int, bits: int, recall: f
 
 
 def similar_edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least this Jaccard similarity. nodes: fp, text_key."""
+    """The pairs (a, b) of nodes whose shingle sets have at least this Jaccard similarity."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted = stored(nodes.join(ends, "fp", "left_semi").select("fp", "text_key"), "near-nodes")
-    texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(wanted, "text_key")
-    texts = stored(texts.dropDuplicates(["fp"]).select("fp", "text"), "near-texts")
-    sides = pairs.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a")
-    sides = sides.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.join(ends, "node", "left_semi").select("node", F.col("first.text_key").alias("text_key")), "near-nodes")
+    texts = docs.select(text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")).join(wanted, "text_key")
+    texts = stored(texts.dropDuplicates(["node"]).select("node", "text"), "near-texts")
+    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,21 +364,18 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: in
                 like.append(both > 0 and both + 1e-9 >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
 
-    return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: int = 1, similarity: float | None = None, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (binary), component_id: the smallest doc_id that links lead to.
-
-    Without `similarity`: links at `radius` or fewer differing bits, and none is missed. With it,
-    links between texts whose shingle sets have at least this Jaccard similarity: planes * 64 bits
-    of the distinct shingles find the pairs, radius and sampled keys together such that a pair at
-    the threshold is found with probability `recall`, and the sets themselves decide.
-    """
+def _classes(docs: DataFrame, words: int, radius: int, planes: int, similarity: float | None, recall: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of each row (doc_id, fp, text_key), and the nodes: fp, n (rows), and first,
+    the least row (null ids last) of the node's class."""
     exact = similarity is None
-    prints = fingerprints(docs, words, planes, id_col, text_col, distinct=not exact)
-    prints = stored(prints.drop("text_key") if exact else prints, "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *[] if exact else [F.min("text_key").alias("text_key")]), "fingerprint-nodes")
+    prints = stored(fingerprints(docs, words, planes, id_col, text_col, distinct=not exact), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    # Numbered as they are written: from there on a node is a long.
+    nodes = prints.groupBy("fp").agg(F.min(row).alias("first"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id())
+    nodes = stored(pivot_distances(nodes, planes), "fingerprint-nodes")
     if exact:
         if planes != 1 or radius > 3:
             raise ValueError("exact keys are for 64 bits and a radius up to 3")
@@ -371,16 +390,44 @@ def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: in
             return sampled_keys(fp, tables, bits)
 
         edges = similar_edges(docs, nodes, link_edges(nodes, planes, radius, keys, sure), words, similarity, text_col)
-    roots = components(edges)
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return prints.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
-
-
-def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, planes: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that have a near copy with a smaller id in their class. Rows
-    that repeat an id are one document and stay or go together; rows with a null id stay."""
-    classes = simhash_classes(docs, words=words, planes=planes, similarity=similarity, id_col=id_col, text_col=text_col)
-    go = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(go, id_col, "left_anti").select(*docs.columns)
+    rooted = nodes.join(components(edges), "node", "left").select("fp", "first", "n", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return prints, stored(rooted.drop("first").join(least, "root").select("fp", "n", "first"), "classes")
+
+
+def simhash_classes(docs: DataFrame, words: int = 3, radius: int = 3, planes: int = 1, similarity: float | None = None, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp (binary), component_id: the smallest doc_id that links lead to.
+
+    Without `similarity`: links at `radius` or fewer differing bits, and none is missed. With it,
+    links between texts whose shingle sets have at least this Jaccard similarity: planes * 64 bits
+    of the distinct shingles find the pairs, radius and sampled keys together such that a pair at
+    the threshold is found with probability `recall`, and the sets themselves decide.
+    """
+    prints, classes = _classes(docs, words, radius, planes, similarity, recall, id_col, text_col)
+    named = spread_join(prints, classes.select("fp", F.col("first.doc_id").alias("component_id")), "fp", heavy_keys(classes, "fp", "n", prints.count()), F.xxhash64("doc_id"))
+    return named.select("doc_id", "fp", "component_id")
+
+
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, planes: int = 8, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class, with its columns: the least by (id, hash of the text), rows
+    without an id last. Rows with one id and different texts, or without an id, are documents of
+    their own. Of rows equal in id and text one stays: the first by its columns written as JSON."""
+    prints, classes = _classes(docs, words, 0, planes, similarity, recall, id_col, text_col)
+    named = spread_join(prints, classes.select("fp", "first"), "fp", heavy_keys(classes, "fp", "n", prints.count()), F.xxhash64("doc_id", "text_key"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    named = stored(named.select("doc_id", "text_key", (row == F.col("first")).alias("stays")), "stays")
+
+    key = text_key(docs[text_col])
+
+    def rows(which: DataFrame, how: str) -> DataFrame:
+        which = which.select(F.col("doc_id").alias("gleanery__id"), F.col("text_key").alias("gleanery__key"))
+        return docs.join(which, docs[id_col].eqNullSafe(which["gleanery__id"]) & (key == which["gleanery__key"]), how).select(*[docs[c] for c in docs.columns])
+
+    again = stored(named.where("stays").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-rows")
+    go = named.where("not stays").select("doc_id", "text_key")
+    if not again.count():
+        return rows(go, "left_anti")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    one = rows(again, "left_semi").groupBy(id_.alias("gleanery__id"), text_key(text).alias("gleanery__key"))
+    one = one.agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), whole_row(docs.columns)).alias("gleanery__row")).select("gleanery__row.*")
+    return rows(go.unionByName(again.select("doc_id", "text_key")), "left_anti").unionByName(one)

@@ -70,11 +70,9 @@ def test_no_link_is_lost_in_hot_keys(spark, monkeypatch, tile):
         fps.add(f)
     fps |= {int(x) for x in rng.integers(0, 2**63, 50)}
     fps = sorted(fps)
-    nodes = spark.createDataFrame([(bytearray(f.to_bytes(8, "big")),) for f in fps], "fp binary")
-    roots = {bytes(r.node): bytes(r.root) for r in components(simhash.link_edges(nodes, 1, 3, simhash.block_keys)).collect()}
-    got = [roots.get(f.to_bytes(8, "big"), f.to_bytes(8, "big")) for f in fps]
-    want = brute_components(fps, fps, 3)
-    assert [int.from_bytes(g, "big") for g in got] == want
+    nodes = simhash.pivot_distances(spark.createDataFrame([(k, bytearray(f.to_bytes(8, "big"))) for k, f in enumerate(fps)], "node long, fp binary"), 1)
+    roots = {r.node: r.root for r in components(simhash.link_edges(nodes, 1, 3, simhash.block_keys)).collect()}
+    assert [fps[roots.get(k, k)] for k in range(len(fps))] == brute_components(fps, fps, 3)
 
 
 def test_block_keys_miss_no_pair():
@@ -99,12 +97,38 @@ def test_pivots_discard_only_what_is_far():
     assert kept.mean() < 0.1  # the tables do the work
 
 
+def test_first_coordinates_make_the_candidates(monkeypatch):
+    """Pairs are made within the radius of the first pivot distance only, and none is lost."""
+    rng = np.random.default_rng(4)
+    fp = rng.integers(0, 2**63, 400).astype(np.uint64)[:, None]
+    fp[1::2] = fp[::2] ^ np.uint64(0b10001)
+    table = simhash.pivot_table(fp, simhash.pivots(1)).astype(np.int64)
+    order = np.lexsort((table[:, 0], np.zeros(len(fp))))
+    fp, table = fp[order], table[order]
+    made = []
+    inner = simhash.near_pairs
+    monkeypatch.setattr(simhash, "near_pairs", lambda f, i, j, *rest: made.append((i, j)) or inner(f, i, j, *rest))
+    found = {tuple(sorted(p)) for i, j in simhash._near_batches(fp, np.zeros(len(fp), np.int64), np.zeros(len(fp)), np.zeros(len(fp), bool), 3, table) for p in zip(i.tolist(), j.tolist(), strict=True)}
+    assert found == {(a, b) for a in range(len(fp)) for b in range(a + 1, len(fp)) if (int(fp[a, 0]) ^ int(fp[b, 0])).bit_count() <= 3}
+    i, j = (np.concatenate(x) for x in zip(*made, strict=True))
+    assert len(i) < 0.6 * len(fp) * (len(fp) - 1) / 2 and (np.abs(table[i, 0] - table[j, 0]) <= 3).all()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 80)] + [(300, 300)]
     out = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {k: 0 for k in range(1, 61)} | {100 + k: 100 for k in range(1, 80)}
 
 
+def test_edges_of_a_hub_are_dealt_out(spark, monkeypatch):
+    from gleanery.llm import common, graph
+
+    monkeypatch.setattr(graph, "heavy_keys", lambda counts, key, n, total: common.heavy_keys(counts, key, n, total, least=10))
+    edges = [(50, k) for k in range(300) if k != 50] + [(1000, 1001)]
+    out = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert out == {k: 0 for k in range(1, 300)} | {1001: 1000}
+
+
 def test_near_dedup_keeps_one_of_each_group(spark):
     rng = np.random.default_rng(5)
     vocabulary = [f"w{k}" for k in range(3000)]
@@ -127,6 +151,19 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(groups)
 
 
+def test_near_dedup_judges_rows_not_ids(spark):
+    """Null and repeated ids with different texts, repeated rows, and columns with clashing names."""
+    rng = np.random.default_rng(6)
+    a, b, c, d = (" ".join(f"{x}{k}" for k in rng.integers(0, 10**6, 60)) for x in "abcd")
+    rows = [(2, b, "u", 1), (5, a, "v", 2), (5, b, "w", 3), (9, a, "x", 4), (None, c, "y", 5), (None, c + " more", "z", 6), (None, d, "y", 7), (7, c, "q", 8), (7, c, "p", 9), (7, c, "p", 9), (None, None, "n", 10), (3, " ", "m", 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string, n int").repartition(4)
+    out = simhash.near_dedup(df)
+    assert out.columns == df.columns
+    left = sorted((r.n, r.doc_id, r.text) for r in out.collect())
+    assert [n for n, *_ in left if n not in (8, 9)] == [1, 2, 7, 11]
+    assert [r for r in left if r[0] in (8, 9)] in ([(8, 7, c)], [(9, 7, c)])
+
+
 def test_similarity_at_its_threshold(spark):
     """Pairs of 400 shingles with a shared beginning, so that their similarity is known."""
     rng = np.random.default_rng(8)
