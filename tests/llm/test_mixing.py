@@ -79,3 +79,55 @@ def test_take_mix(spark):
         got[r.doc_id] += 1
     assert dict(got) == {i: c for i, c in copies.items() if c}
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.take_mix(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_and_repeated_ids_are_taken(spark):
+    """Words out of the mix are the words that mix() says it takes, row by row."""
+    rows = [(None, f"text number {k} " * (1 + k % 7), "none", {"k": k}) for k in range(40)]
+    rows += [(k % 5, f"word {k} " * (1 + k % 9), "few", {"k": k}) for k in range(60)] + [(k, "same words here " * 3, "many", None) for k in range(100)] + [(77, "equal rows", "many", None)] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size map<string,int>").repartition(5)
+    mixed = mixing.mix(df).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    out = mixing.take_mix(df)
+    assert out.columns == df.columns
+    words, times = defaultdict(int), defaultdict(int)
+    for r in out.collect():
+        words[r.source] += len(r.text.split())
+        times[r.source, r.doc_id, r.text] += 1
+    for r in mixed:
+        assert words[r.source] == r["sum(taken)"] and abs(words[r.source] - r["max(target)"]) <= max(8, 0.02 * r["max(target)"])
+    assert len({t for s, _, t in times if s == "none"}) > 20
+    assert times["many", 77, "equal rows"] <= 90 and all(n <= 3 for (_, i, _), n in times.items() if i != 77)
+
+
+def test_taken_against_brute_force(spark):
+    """Rates by bisection, copies from the largest size down, and the extra copies by hash order."""
+    rows = corpus()
+    df = spark.createDataFrame([(t, i, s) for i, s, t in rows], "text string, doc_id long, source string").repartition(4)
+    out = mixing.mix(df).collect()
+    by_source = defaultdict(list)
+    for r in out:
+        by_source[r.source].append(r)
+    for some in by_source.values():
+        sizes = np.array([r["size"] for r in some])
+        total, target = int(sizes.sum()), some[0].target
+        low, high = -1e5, 1e5
+        for _ in range(200):
+            lam = (low + high) / 2
+            with np.errstate(over="ignore"):
+                f = (sizes * np.minimum(3.0, np.exp(np.minimum(lam * sizes / max(1, total), 50)))).sum()
+            low, high = (lam, high) if f < target else (low, lam)
+        if not total:
+            continue
+        full = target >= 3 * total * (1 - 1e-12)
+        rates = {s: 3.0 if full else float(min(3.0, np.exp(min(lam * s / total, 50)))) for s in set(sizes.tolist()) if s}
+        behind = 0.0
+        for s in sorted(rates, reverse=True):
+            group = [r for r in some if r["size"] == s]
+            n, rate = len(group), rates[s]
+            behind += n * rate * s
+            k = int(min(max(round(behind / s), n * np.floor(rate + 1e-9)), min(n * np.ceil(rate - 1e-9), 3 * n)))
+            behind -= k * s
+            got = sum(r.copies for r in group)
+            assert abs(got - k) <= 1, (s, n, rate, got, k)  # a tie of rounding may fall either way
+            ordered = sorted(group, key=lambda r: (r.turn, r.doc_id is not None, r.doc_id or 0))
+            assert [r.copies for r in ordered] == [got // n + (j < got % n) for j in range(n)]
