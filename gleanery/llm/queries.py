@@ -81,4 +81,18 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    # The CRC is a fold over the bytes with the table of the reversed polynomial 0xEDB88320.
+    "op6_sharding": r"""
+        WITH RECURSIVE k AS (SELECT i AS b, i::UBIGINT AS c, 0 AS n FROM range(256) r(i) UNION ALL
+            SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, n + 1 FROM k WHERE n < 8),
+        t AS (SELECT list(c ORDER BY b) AS tbl FROM k WHERE n = 8),
+        d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, octet_length(encode(coalesce(text, ''))) + 8 AS size, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+        e AS (SELECT doc_id, key, size, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hx, '..'), lambda x: ('0x' || x)::UBIGINT)),
+            lambda a, b: xor(a >> 8, tbl[((xor(a, b) & 255) + 1)::INTEGER])), 4294967295::UBIGINT)::BIGINT AS text_crc32 FROM d, t),
+        leaves AS (SELECT s, 'r' || (s // 12) || '/k' || (s // 4) || '/s' || s AS path FROM range(25) r(s)),
+        draws AS (SELECT DISTINCT key, s, -ln((('0x' || md5(key || ':' || path)[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) AS draw FROM d, leaves),
+        placed AS (SELECT key, arg_min(s, draw) FILTER (s < 24) AS shard, arg_min(s, draw) AS grown_shard FROM draws GROUP BY key)
+        SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
+            row_number() OVER (PARTITION BY shard ORDER BY ('0x' || md5(key || ':' || size || ':' || text_crc32)[1:13])::BIGINT, doc_id, size, text_crc32) - 1 AS slot
+        FROM e JOIN placed USING (key)""",
 }

@@ -1,5 +1,7 @@
 """The hash tree: growth moves rows only into the new shard, weights are kept, slots have no gaps."""
 
+import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -29,10 +31,9 @@ def test_contract(spark):
 
 def test_each_growth_is_confined(spark):
     ids = spark.range(2000).withColumn("k", F.col("id").cast("string"))
-    for n in (1, 5, 11, 23, 24, 25, 30):
+    for n in (1, 2, 5, 11, 23, 24, 25, 30):
         rows = ids.select(place(F.col("k"), shard_tree(n)).alias("a"), place(F.col("k"), shard_tree(n + 1)).alias("b"))
-        if n >= 24:
-            assert rows.where(f"a <> b and b <> {n}").count() == 0
+        assert rows.where(f"a <> b and b <> {n}").count() == 0
         assert rows.where(f"a < 0 or a >= {n}").count() == 0
 
 
@@ -47,5 +48,43 @@ def test_weights_and_confinement(spark):
     assert out.where("a <> b and b in (0, 1)").count() == 0  # only into the subtree that gained
 
 
+def test_brute_force(spark):
+    """Level by level, with hashes and logarithms of Python."""
+
+    def draw(key, node, path=""):
+        path += node.name
+        if node.shard is not None:
+            u = (int(hashlib.md5(f"{key}:{path}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            return -math.log(u) / node.weight
+        return min(draw(key, c, path + "/") for c in node.children)
+
+    def descend(key, nodes, path=""):
+        best = min(nodes, key=lambda n: draw(key, n, path))
+        return best.shard if best.shard is not None else descend(key, best.children, path + best.name + "/")
+
+    rows = ROWS[:400] + ROWS[3000:]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = []
+    for i, t in rows:
+        key, data = "" if i is None else str(i), (t or "").encode()
+        turn = int(hashlib.md5(f"{key}:{len(data) + 8}:{zlib.crc32(data)}".encode()).hexdigest()[:13], 16)
+        want.append((descend(key, shard_tree(24)), turn, i, descend(key, shard_tree(25))))
+    slots = Counter()
+    expected = []
+    for shard, turn, i, grown in sorted(want, key=lambda r: (r[0], r[1], r[2] or 0)):
+        expected.append((str(i), shard, slots[shard], grown))
+        slots[shard] += 1
+    assert sorted((str(r.doc_id), r.shard, r.slot, r.grown_shard) for r in shard_documents(df, rows_per_block=5).collect()) == sorted(expected)
+
+
+def test_equal_rows_are_dealt_out(spark):
+    df = spark.range(4000).selectExpr("case when id % 3 = 0 then null else id end as doc_id", "case when id % 3 = 0 then 'x' else repeat('y', cast(id % 5 as int)) end as text")
+    out = shard_documents(df, 24, rows_per_block=1).collect()
+    by_shard = {}
+    for r in out:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    assert len(out) == 4000 and all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+
+
 def test_empty(spark):
     assert shard_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
