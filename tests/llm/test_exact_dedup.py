@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.llm.exact_dedup import exact_dedup
 
@@ -31,7 +32,7 @@ ROWS += [(100 + k, "hot text\nof many") for k in range(500)]
 def test_brute_force(spark, digest_bytes, filter_bits):
     rows = ROWS + [(1000 + k, f"text {k % 150}") for k in range(300)]
     df = spark.createDataFrame([(t, "x", i, "y") for i, t in rows], "text string, keep_id string, doc_id long, digest string").repartition(5)
-    out = exact_dedup(df, digest_bytes=digest_bytes, filter_bits=filter_bits, copies_per_task=64)
+    out = exact_dedup(df, digest_bytes=digest_bytes, filter_bits=filter_bits, copies_per_task=64, memtable=17)
     assert out.columns == COLUMNS
     assert sorted(str(tuple(r)) for r in out.collect()) == brute(rows)
 
@@ -53,4 +54,26 @@ def test_index_grows_by_runs(spark):
     index.compact()
     assert {(bytes(r.digest), r.keep_id, r.n) for r in index.entries().collect()} == {(b"a", 3, 3), (b"b", 2, 1), (b"c", 1, 1)}
     probes = spark.createDataFrame([(bytearray(b"a"),), (bytearray(b"z"),)], "digest binary")
-    assert {(bytes(r.digest), r.keep_id) for r in index.lookup(probes).collect()} == {(b"a", 3), (b"z", None)}
+    probes = probes.withColumn("text", F.lit("t"))
+    found = index.lookup(probes, F.xxhash64("text"))
+    assert {(bytes(r.digest), r.keep_id, r.n, r.text) for r in found.collect()} == {(b"a", 3, 3, "t")}
+    assert "bitmap" in found._jdf.queryExecution().toString()
+
+
+def test_runs_are_memtables_and_levels_are_sorted(spark):
+    from gleanery.llm.common import scratch_path
+    from gleanery.llm.exact_dedup import DigestIndex
+
+    index = DigestIndex(spark, scratch_path(spark, "t"), memtable=50)
+    entries = spark.range(0, 1000, 1, 4).select(F.unhex(F.sha2((F.col("id") % 700).cast("string"), 256)).alias("digest"), F.col("id").alias("doc_id"))
+    index.flush(entries)
+    runs = spark.read.parquet(*index.runs)
+    assert runs.select("run").distinct().count() == 20 and runs.groupBy("run").agg(F.sum("n").alias("s")).where("s <> 50").count() == 0
+    index.compact()
+    level = [(r.f, bytes(r.digest)) for r in index.entries().select(F.input_file_name().alias("f"), "digest").collect()]
+    ranges = {}
+    for f, d in level:
+        ranges.setdefault(f, []).append(d)
+    assert all(x == sorted(x) for x in ranges.values())
+    spans = sorted((x[0], x[-1]) for x in ranges.values())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False)) and len(level) == 700
