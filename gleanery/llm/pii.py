@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,6 @@ Span = tuple[str, int, int]
 
 # ---------------------------------------------------------------- base patterns
 
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+", re.ASCII)
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -348,8 +349,20 @@ def field_spans(texts: Sequence[str], field: Field) -> list[list[Span]]:
 
 def all_spans(base: list[Span], more: list[Span]) -> list[Span]:
     """Base spans, and those of the field that touch none of them; by kind, then start."""
-    taken = sorted((a, b) for _, a, b in base)
-    free = [s for s in more if not any(a < s[2] and s[1] < b for a, b in taken)] if taken else more
+    # Base spans of different kinds may overlap: merged, so that one search finds a neighbour.
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    begins = [a for a, _ in taken]
+
+    def touches(start: int, end: int) -> bool:
+        k = bisect_left(begins, end)  # the first that begins at the end or later
+        return k > 0 and taken[k - 1][1] > start
+
+    free = [s for s in more if not touches(s[1], s[2])] if taken else more
     return sorted([*base, *free], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -357,11 +370,17 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+@cache
+def _trained() -> Field:
+    """The field of the labelled table, trained once in a session."""
+    return train(labelled_table())
+
+
 def find_pii(docs: DataFrame, table: Sequence[tuple[Sequence[str], Sequence[str]]] | None = None, id_col: str = "doc_id", text_col: str = "text", together: int = 1 << 20) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added.
 
     together: code points of texts that are decoded in one go; a longer text goes alone, whole."""
-    field = train(table or labelled_table())
+    field = train(table) if table else _trained()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

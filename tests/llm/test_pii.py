@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -71,3 +72,15 @@ def test_query(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.KINDS[:4]]
         assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r.spans.split(","))
     assert pii.find_pii(df.limit(0), pii.labelled_table(50)).count() == 0
+
+
+def test_spans_that_touch_none_in_time_that_grows_with_their_number():
+    rng = random.Random(8)
+    for _ in range(500):
+        spans = [[("ip", a, a + rng.randint(1, 6)) for a in rng.sample(range(60), rng.randint(0, 8))] for _ in range(2)]
+        want = [s for s in spans[1] if not any(a < s[2] and s[1] < b for _, a, b in spans[0])]
+        assert sorted(pii.all_spans(*spans)) == sorted([*spans[0], *want])
+    began = time.perf_counter()
+    base, more = [("ip", 20 * k, 20 * k + 9) for k in range(20_000)], [("phone", 20 * k + (8 if k % 2 else 10), 20 * k + 15) for k in range(20_000)]
+    assert len(pii.all_spans(base, more)) == 30_000
+    assert time.perf_counter() - began < 3
