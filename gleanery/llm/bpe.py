@@ -27,7 +27,7 @@ _split = regex.compile(PRE_TOKEN).findall
 _NONE = 1 << 60  # above every rank
 
 #: Distinct pre-tokens or chunks remembered in a worker; beyond, it forgets all and goes on.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 
 @cache
@@ -216,13 +216,13 @@ class IdEncoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
-        self.vocabulary, self.library = Vocabulary(path), Tokenizer.from_file(path)
+        vocabulary, self.library = Vocabulary(path), Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size()
         self.kind, self.width = ("<u2", 2) if self.size <= 1 << 16 else ("<u4", 4)
         self.lengths = np.zeros(self.size, np.int64)
-        for entry, k in self.vocabulary.ids.items():
+        for entry, k in vocabulary.ids.items():
             self.lengths[k] = len(entry)
-        self._special = [s.encode() for s in self.vocabulary.special]
+        self._special = [s.encode() for s in vocabulary.special]
         self.remembered = remembered
         self.bits = max(4, (3 * remembered).bit_length())
         self.places = np.full(1 << self.bits, -1, np.int32)
@@ -387,5 +387,5 @@ class IdEncoder:
 
 @cache
 def id_encoder(path: str) -> IdEncoder:
-    """One for each worker process, so that later tasks find the table filled."""
+    """One for each worker process, so that later tasks find the table filled: some 60 MB."""
     return IdEncoder(path)

@@ -48,7 +48,7 @@ from gleanery.llm.common import stored
 BLOCK_WORDS = 2_000_000
 EDITS = 0.2
 WALKS, SAMPLES = 4, 3
-CHUNK = 1 << 22  # bytes of texts worked on together; a longer text goes alone, whole
+CHUNK = 1 << 20  # bytes of texts worked on together; a longer text goes alone, whole
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

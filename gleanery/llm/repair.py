@@ -37,14 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from gleanery.llm.bpe import id_encoder
 from gleanery.llm.common import scratch_path, stored
 
 END = 0  # the id after each document
-SHARD_IDS = 1 << 21
+SHARD_IDS = 1 << 20
 PART_BYTES = 32 << 20  # of written ids
-TOGETHER = 1 << 21  # bytes of texts encoded in one go; a longer text goes alone, whole
+TOGETHER = 1 << 20  # bytes of texts encoded in one go; a longer text goes alone, whole
 LEAST = 16  # occurrences for which a pair becomes a rule
 
 
@@ -220,10 +221,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-plan_bytes(ids) // PART_BYTES))
     rows = ids.repartitionByRange(parts, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row").drop("tie", "row")
     id_type = rows.schema["doc_id"].dataType
+    base = Tokenizer.from_file(tokenizer_path).get_vocab_size()
+    kind, width = ("<u2", 2) if base <= 1 << 16 else ("<u4", 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = id_encoder(tokenizer_path)
-        kind, base = encoder.kind, encoder.size
         part, shard, first = TaskContext.get().partitionId(), 0, 0
         held: list[pa.RecordBatch] = []
         room = 0  # ids held
@@ -231,7 +232,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         def flush() -> pa.RecordBatch:
             nonlocal shard, first, room
             columns = [pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "ids")]
-            sizes = (pa.compute.binary_length(columns[1]).to_numpy() // encoder.width).astype(np.int64)
+            sizes = (pa.compute.binary_length(columns[1]).to_numpy() // width).astype(np.int64)
             all_ids = np.frombuffer(b"".join([b.column("ids").buffers()[2][slice(*_extent(b.column("ids")))] for b in held]), kind)
             packed = compress(all_ids, sizes, base)
             low, high = split_bits(packed.symbols)
@@ -246,7 +247,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
             if schema is None:
                 long = pa.list_(pa.int64())
                 schema = pa.schema([("part", pa.int64()), ("shard", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(batch.schema.field("doc_id").type)), ("n_ids", long), ("n_symbols", long), ("base", pa.int32()), ("rules", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("high", pa.binary())])
-            total = np.cumsum(pa.compute.binary_length(batch.column("ids")).to_numpy().astype(np.int64) // encoder.width)
+            total = np.cumsum(pa.compute.binary_length(batch.column("ids")).to_numpy().astype(np.int64) // width)
             low = 0
             while low < batch.num_rows:
                 before = int(total[low - 1]) if low else 0
