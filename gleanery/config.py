@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import os
 import re
 from collections.abc import Mapping
@@ -89,3 +90,44 @@ def from_env(prefix: str = "GLEANERY", env: Mapping[str, str] = os.environ) -> S
         if changes:
             settings = dataclasses.replace(settings, **{section.name: dataclasses.replace(part, **changes)})
     return settings
+
+
+def missing_settings(found: Mapping[str, Any], needed: Mapping[str, tuple[str, ...]]) -> list[str]:
+    """A warning for each section or key that a configuration lacks; the run goes on with defaults."""
+    out = []
+    for section, keys in needed.items():
+        part = found.get(section)
+        if not isinstance(part, Mapping):
+            out.append(f"no section {section}")
+        else:
+            out += [f"no {section}.{key}" for key in keys if key not in part]
+    return out
+
+
+def read_settings(path: str) -> dict[str, Any]:
+    """Sections of a JSON or YAML file, with ${NAME} expanded and values typed as in the environment.
+    YAML is read as far as nested mappings, lists of scalars and scalars go."""
+    with open(path, encoding="utf-8") as f:
+        text = expand(f.read())
+    if path.endswith(".json"):
+        return json.loads(text)
+    return _yaml([(len(line) - len(line.lstrip()), line.strip()) for line in (re.sub(r"(^|\s)#.*$", "", x).rstrip() for x in text.splitlines()) if line.strip()])[0]
+
+
+def _yaml(lines: list[tuple[int, str]], at: int = 0, depth: int = 0) -> tuple[Any, int]:
+    out: Any = [] if at < len(lines) and lines[at][1].startswith("- ") else {}
+    while at < len(lines) and lines[at][0] >= depth:
+        indent, line = lines[at]
+        at += 1
+        if isinstance(out, list):
+            out.append(typed(line[2:].strip().strip("\"'")))
+            continue
+        key, _, rest = line.partition(":")
+        if rest.strip():
+            inner = rest.strip()
+            out[key.strip()] = [typed(x.strip().strip("\"'")) for x in inner[1:-1].split(",") if x.strip()] if inner.startswith("[") else typed(inner.strip("\"'"))
+        elif at < len(lines) and (lines[at][0] > indent or lines[at][1].startswith("- ") and lines[at][0] == indent):
+            out[key.strip()], at = _yaml(lines, at, lines[at][0])
+        else:
+            out[key.strip()] = None
+    return out, at

@@ -66,112 +66,19 @@ def composition(symmetric: Column, thirds: Column, lines: Column) -> Column:
 
 
 def contrast_score(deviation: Column) -> Column:
-    """Rises to 1 between 20 and 40, stays to 80, then falls."""
-    return F.when(deviation < 20, deviation / 20 * 0.5).when(deviation < 40, 0.5 + (deviation - 20) / 20 * 0.5).when(deviation <= 80, F.lit(1.0)).otherwise(F.greatest(F.lit(0.5), 1 - (deviation - 80) / 80))
+    """Rises to 1 between 20 and 40, stays to 80, then falls by a hundredth a unit."""
+    return F.when(deviation < 20, deviation / 20 * 0.5).when(deviation < 40, 0.5 + (deviation - 20) / 40).when(deviation <= 80, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - (deviation - 80) / 100))
 
 
 def brightness_score(brightness: Column) -> Column:
-    """A plateau from .4 to .7."""
-    return F.when(brightness.between(0.4, 0.7), F.lit(1.0)).when(brightness < 0.4, brightness / 0.4).otherwise((1 - brightness) / 0.3)
+    """A plateau from .4 to .7, falling to 0 at 0 and 1."""
+    return F.greatest(F.lit(0.0), F.when(brightness.between(0.4, 0.7), F.lit(1.0)).when(brightness < 0.4, brightness / 0.4).otherwise((1 - brightness) / 0.3))
 
 
 def visual_interest(deviation: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (deviation - 20) / 50))
 
 
-def lab_hex(r: Column, g: Column, b: Column) -> Column:
-    return F.format_string("#%02x%02x%02x", r.cast("int"), g.cast("int"), b.cast("int"))
-
-
-def _square(values: np.ndarray) -> np.ndarray:
-    side = int(len(values) ** 0.5)
-    return np.asarray(values[: side * side], np.float64).reshape(side, side)
-
-
-def _sobel(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    p = np.pad(g, 1, mode="reflect")
-    across = p[:, 2:] - p[:, :-2]
-    down = p[2:] - p[:-2]
-    return across[:-2] + 2 * across[1:-1] + across[2:], down[:, :-2] + 2 * down[:, 1:-1] + down[:, 2:]
-
-
-def _measures(values: np.ndarray) -> dict[str, float]:
-    g = _square(values)
-    n = len(g)
-    p = np.pad(g, 1, mode="reflect")
-    laplacian = p[1:-1, :-2] + p[1:-1, 2:] + p[:-2, 1:-1] + p[2:, 1:-1] - 4 * g
-    sx, sy = _sobel(g)
-    size = np.hypot(sx, sy)
-    total = size.sum() + 1e-6
-    yy, xx = np.mgrid[:n, :n]
-    x, y = (xx * size).sum() / total / n, (yy * size).sum() / total / n
-    spectrum = np.abs(np.fft.fftshift(np.fft.fft2(g))) ** 2
-    far = np.hypot(yy - n // 2, xx - n // 2) > 0.35 * n
-    edges = float((size > size.mean() + size.std()).mean())
-    bands = np.array([b.mean() for b in np.array_split(size, 3)])
-    block = np.abs(np.fft.rfft(g.mean(axis=0)))
-    histogram = np.histogram(g, bins=256)[0] / g.size
-    return {
-        "sharpness": float(np.clip((laplacian.var() - 100) / 1900, 0, 1)), "focal_x": float(x), "focal_y": float(y), "edge_ratio": edges,
-        "depth": float(min(bands.std() / 50, 1)), "busyness": float(spectrum[far].sum() / (spectrum.sum() + 1e-9)), "blockiness": float(block[max(1, n // 8)] / (block.sum() + 1e-9)),
-        "exposure": float(1 - max(histogram[:5].sum(), histogram[-5:].sum())), "balance": float(1 - abs(size[:, : n // 2].sum() - size[:, n // 2 :].sum()) / total), "off_centre": float(np.hypot(x - 0.5, y - 0.5)),
-        "thirds": float(size[n // 3].mean() + size[:, n // 3].mean()) / (2 * size.mean() + 1e-9),
-    }
-
-
-MEASURES = "sharpness double, focal_x double, focal_y double, edge_ratio double, depth double, busyness double, blockiness double, exposure double, balance double, off_centre double, thirds double"
-
-
-def gradient_measures(grid: Column) -> Column:
-    """A struct of Sobel, Laplacian and Fourier measures of each grid."""
-
-    def run(grids: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_measures(g) for g in grids], columns=[c.split()[0] for c in MEASURES.split(", ")])
-
-    return F.pandas_udf(run, MEASURES)(grid)
-
-
-def kmeans(points: np.ndarray, k: int = 5, seed: int = 42, starts: int = 10, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Centres and sizes, largest first; the best of several starts."""
-    rng = np.random.default_rng(seed)
-    points = np.asarray(points, np.float64)
-    k = min(k, len(points))
-    best = None
-    for _ in range(starts):
-        centres = points[rng.integers(len(points))][None]
-        while len(centres) < k:  # far points are likelier to become centres
-            far = ((points[:, None] - centres[None]) ** 2).sum(-1).min(1)
-            chance = far / far.sum() if far.sum() > 0 else None
-            centres = np.concatenate([centres, points[rng.choice(len(points), p=chance)][None]])
-        for _ in range(rounds):
-            owner = ((points[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
-            moved = np.stack([points[owner == c].mean(0) if (owner == c).any() else centres[c] for c in range(k)])
-            if np.allclose(moved, centres):
-                break
-            centres = moved
-        cost = ((points - centres[owner]) ** 2).sum()
-        if best is None or cost < best[0] - 1e-12:
-            best = cost, centres, np.bincount(owner, minlength=k)
-    order = np.argsort(-best[2], kind="stable")
-    return best[1][order], best[2][order]
-
-
-def _palettes(pixels: pd.Series) -> pd.DataFrame:
-    rows = []
-    for p in pixels:
-        centres, sizes = kmeans(np.asarray(p, np.float64)[: len(p) // 3 * 3].reshape(-1, 3))
-        pairs = [np.linalg.norm(centres[i] - centres[j]) for i in range(len(centres)) for j in range(i + 1, len(centres))]
-        angle = int(np.degrees(np.arctan2(centres[0][2], centres[0][1]))) % 360
-        rows.append((sizes.tolist(), min(float(np.mean(pairs)) / 100, 1.0) if pairs else 0.0, angle))
-    return pd.DataFrame(rows, columns=["sizes", "diversity", "hue"])
-
-
-def palette(pixels: Column) -> Column:
-    """Five colours of each image, given as a flat array of three values a pixel: a struct of the
-    colours' sizes, their diversity, and the hue of the largest."""
-    return F.pandas_udf(_palettes, "sizes array<long>, diversity double, hue int")(pixels)
-
-
 def bar_rows(pixels: np.ndarray, least: int = 35, most: int = 70, share: float = 0.85, dark: int = 40, step: float = 25.0) -> int:
     """Rows of a dark bar at the bottom of a height x width x 3 image, 0 if there is none: from 35
     to 70 trailing rows of which 85 % of pixels are dark in all channels, with a step to the row above."""
@@ -208,13 +115,14 @@ def colour_cast(red: Column, green: Column, blue: Column) -> Column:
 
 
 def harmony(hues: Column) -> Column:
-    """Pairs of hues: 1 for complementary ones (150 to 210 degrees), .5 for close ones (under 45),
-    over 5, at most 1."""
+    """Pairs of hues on the circle: 1 for complementary ones (over 150 degrees apart), .5 for close
+    ones (under 45), over 5, at most 1."""
     n = F.size(hues)
 
     def score(i: Column, j: Column) -> Column:
-        d = F.abs(F.get(hues, i) - F.get(hues, j))
-        return F.when(j <= i, 0.0).when((d > 150) & (d < 210), 1.0).when(d < 45, 0.5).otherwise(0.0)
+        apart = F.abs(F.get(hues, i) - F.get(hues, j))
+        d = F.when(apart > 180, 360 - apart).otherwise(apart)
+        return F.when(j <= i, 0.0).when(d > 150, 1.0).when(d < 45, 0.5).otherwise(0.0)
 
     total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda t, j: t + score(i, j)))
     return F.least(total / 5, F.lit(1.0))

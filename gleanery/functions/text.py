@@ -26,8 +26,8 @@ KEYWORDS = {
     "technology": ("cyberpunk", "sci-fi", "futuristic", "neon"),
 }
 
-#: Categories by a part of the sub-source's name, in order.
-SUB_SOURCES = {"earthporn": "nature", "cityporn": "urban", "amoled": "abstract", "minimal": "abstract"}
+#: Category and subcategories by a part of the sub-source's name, in order.
+SUB_SOURCES = {"earthporn": ("nature", ("landscape", "photography")), "cityporn": ("urban", ("cityscape", "architecture")), "amoled": ("abstract", ("dark", "amoled")), "minimal": ("abstract", ("minimalist",))}
 
 
 def title_case(text: Column) -> Column:
@@ -66,7 +66,7 @@ def post_image_url(url: Column, is_gallery: Column, gallery: Column, preview: Co
     host_id = F.regexp_extract(url, r"imgur\.com/(\w+)", 1)
     single = low.contains("imgur.com") & ~low.contains("/a/") & ~low.contains("/gallery/") & (host_id != "")
     big = ~((F.coalesce(preview["width"], F.lit(0)) < min_width) & (F.coalesce(preview["height"], F.lit(0)) < min_height))
-    fallback = F.when(big & (preview["url"] != ""), unescape(preview["url"]))
+    fallback = F.when(big & (preview["url"] != "") & is_supported(preview["url"]), unescape(preview["url"]))
     return (
         F.when(direct | low.contains("i.redd.it"), url).when(F.coalesce(is_gallery, F.lit(False)), unescape(F.try_element_at(valid, F.lit(1))["u"])).when(single, F.concat(F.lit("https://i.imgur.com/"), host_id, F.lit(".jpg"))).otherwise(fallback)
     )
@@ -106,21 +106,28 @@ def numbered_slug(name: Column) -> Column:
     )
 
 
-def keyword_category(title: Column, sub_source: Column | None = None, keywords: dict[str, tuple[str, ...]] = KEYWORDS) -> Column:
-    """Struct (category, keyword): by the sub-source, else by the first keyword in the title."""
-    low = F.lower(title)
+def keyword_category(title: Column, sub_source: Column | None = None, keywords: dict[str, tuple[str, ...]] = KEYWORDS, sub_sources: dict[str, tuple[str, tuple[str, ...]]] = SUB_SOURCES) -> Column:
+    """Struct (category, subcategories): by the sub-source, else by the first keyword in the title,
+    which is the subcategory; general and none without either."""
+    low = F.lower(F.coalesce(title, F.lit("")))
 
-    def pair(category: str, keyword: str) -> Column:
-        return F.struct(F.lit(category).alias("category"), F.lit(keyword).alias("keyword"))
+    def pair(category: str, more: tuple[str, ...]) -> Column:
+        return F.struct(F.lit(category).alias("category"), F.array(*map(F.lit, more)).cast("array<string>").alias("subcategories"))
 
-    out = F.when(F.lit(False), pair("", ""))
+    out = F.when(F.lit(False), pair("", ()))
     if sub_source is not None:
-        for part, category in SUB_SOURCES.items():
-            out = out.when(F.lower(sub_source).contains(part), pair(category, part))
+        for part, (category, more) in sub_sources.items():
+            out = out.when(F.lower(sub_source).contains(part), pair(category, more))
     for category, words in keywords.items():
         for word in words:
-            out = out.when(low.contains(word), pair(category, word))
-    return out.otherwise(F.struct(F.lit("general").alias("category"), F.lit(None).cast("string").alias("keyword")))
+            out = out.when(low.contains(word), pair(category, (word,)))
+    return out.otherwise(pair("general", ()))
+
+
+def collection_name(url: Column) -> Column:
+    """The name of a collection from the first part of its page's path: words in title case."""
+    part = F.element_at(F.split(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/*", ""), "/"), 1)
+    return title_case(F.regexp_replace(part, r"[-_]+", " "))
 
 
 def output_id(category: Column, when: Column, key: Column) -> Column:

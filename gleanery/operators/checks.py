@@ -37,8 +37,30 @@ def check(name: str, errors: DataFrame, detail: Column) -> DataFrame:
     return errors.select(F.lit(name).alias("check_name"), (F.col("n_errors") == 0).alias("passed"), F.col("n_errors").cast("long").alias("n_errors"), detail.cast("string").alias("detail"))
 
 
+def first_errors(errors: DataFrame, id_col: str, n: int = 20) -> DataFrame:
+    """One row: n_errors, and as detail the n least ids among them, as JSON."""
+    total = errors.agg(F.count("*").alias("n_errors"))
+    some = errors.select(F.col(id_col).alias("id")).orderBy("id").limit(n).agg(F.to_json(F.array_sort(F.collect_list(F.col("id").cast("string")))).alias("detail"))
+    return total.crossJoin(some)  # one row each
+
+
+def bad_entries(df: DataFrame, id_col: str, value: str) -> DataFrame:
+    """Ids whose value in a hash file isn't text of hexadecimal digits."""
+    return df.where(~F.coalesce(F.col(value).rlike("^[0-9a-fA-F]+$"), F.lit(False))).select(id_col)
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     """All checks with the verdict over all of them."""
     every = reduce(DataFrame.unionByName, checks)
     verdict = every.agg(F.bool_and("passed").alias("all_passed"))
     return every.crossJoin(F.broadcast(verdict))  # one row
+
+
+def validation(checks: dict[str, DataFrame], slow: frozenset[str] = frozenset(), quick: bool = False) -> DataFrame:
+    """The report over named checks (n_errors, detail); a quick one leaves out those that are slow."""
+    return report([check(name, errors, F.col("detail")) for name, errors in checks.items() if not (quick and name in slow)])
+
+
+def report_json(rows: DataFrame, date: str) -> DataFrame:
+    """The report as one JSON document: a few rows, one for each check."""
+    return rows.agg(F.to_json(F.struct(F.lit(date).alias("timestamp"), F.bool_and("passed").alias("overall_passed"), F.array_sort(F.collect_list(F.struct("check_name", "passed", "n_errors", "detail"))).alias("checks"))).alias("value"))

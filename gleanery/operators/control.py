@@ -78,3 +78,28 @@ def save_state(spark: SparkSession, path: str, run_id: str, stage: str, counts:
 
 def last_state(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("run_id") == run_id).agg(F.max_by(F.struct("stage", "counts", "saved_at"), "saved_at").alias("s")).where("s is not null").select("s.*")
+
+
+def fresh_start(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Clear the tables of a run's state; the paths that were there."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = []
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        store = target.getFileSystem(conf)
+        if store.exists(target):
+            store.delete(target, True)
+            gone.append(path)
+    return gone
+
+
+def memory_status(spark: SparkSession, warn: float = 0.75, critical: float = 0.875) -> DataFrame:
+    """executor, limit_mb, used_mb, level: what Spark's own memory manager says, a row an executor."""
+    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus()
+    rows, each = [], status.iterator()
+    while each.hasNext():
+        pair = each.next()
+        limit, free = int(pair._2()._1()), int(pair._2()._2())
+        share = (limit - free) / limit if limit else 0.0
+        rows.append((pair._1(), limit >> 20, (limit - free) >> 20, "critical" if share >= critical else "warning" if share >= warn else "ok"))
+    return spark.createDataFrame(rows, "executor string, limit_mb long, used_mb long, level string")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.config import FilterSettings
+from gleanery.operators.dedup import DedupIndex
 
 
 def folded_aspect(width: Column, height: Column) -> Column:
@@ -48,12 +49,46 @@ def text_coverage(tokens: Column, width: Column, height: Column) -> Column:
     return F.coalesce(F.try_divide(area, (width * height).cast("double")), F.lit(0.0))
 
 
+def text_reason(tokens: Column, width: Column, height: Column, s: FilterSettings) -> Column:
+    """Rejects by the share that sure words cover; an image without words passes."""
+    covered = text_coverage(tokens, width, height)
+    return F.when(covered > s.max_text_coverage, F.concat(F.lit("Too much text: "), F.format_string("%.1f%%", covered * 100)))
+
+
+def fetch_reason(status: Column, content_type: Column, url: Column) -> Column:
+    """What a downloaded response must be: status 200, an image, of a supported type."""
+    from gleanery.functions.text import is_supported
+
+    image = F.lower(F.coalesce(content_type, F.lit(""))).startswith("image/")
+    return F.when(F.coalesce(status, F.lit(0)) != 200, F.concat(F.lit("Download failed: HTTP "), F.coalesce(status.cast("string"), F.lit("none")))).when(~image, F.lit("Download failed: no image")).when(~is_supported(url, content_type), F.lit("Download failed: type"))
+
+
 def filter_cascade(df: DataFrame, reasons: list[Column]) -> DataFrame:
     """Adds reason (null if all pass) and passed."""
     reason = F.coalesce(*reasons)
     return df.withColumn("reason", reason).withColumn("passed", F.col("reason").isNull())
 
 
+def hard_filters(df: DataFrame, s: FilterSettings, index: DedupIndex | None = None) -> DataFrame:
+    """The whole cascade over id, url, filepath, file_size, content (its first bytes), width, height,
+    tokens, sha256 and phash: missing file, size, integrity, resolution, aspect, text; and with an
+    index, duplicates, which are looked up for the rows that pass the others only."""
+    w, h = F.col("width"), F.col("height")
+    missing = F.when(F.col("filepath").isNull(), F.lit("No valid filepath"))
+    out = filter_cascade(df, [missing, size_reason(F.col("file_size"), s), integrity_reason(F.col("content")), resolution_reason(w, h, s), aspect_reason(w, h, s), text_reason(F.col("tokens"), w, h, s)])
+    if index is None:
+        return out
+    found = index.check(out.where("passed").select("id", "url", "sha256", "phash")).where("is_duplicate").select("id", F.concat(F.lit("Duplicate: "), F.col("reason")).alias("gleanery__dup"))
+    out = out.join(found, "id", "left").withColumn("reason", F.coalesce("reason", "gleanery__dup"))
+    return out.withColumn("passed", F.col("reason").isNull()).drop("gleanery__dup")
+
+
+def bar_statistics(df: DataFrame, source: Column, cropped: Column, failed: Column) -> DataFrame:
+    """One row: total, forum (rows whose source may have bars), cropped and failed of these."""
+    forum = F.lower(source) == "reddit"
+    return df.agg(F.count("*").alias("total"), F.count_if(forum).alias("forum"), F.count_if(forum & cropped).alias("cropped"), F.count_if(forum & failed).alias("failed"))
+
+
 #: Buckets in the order in which they are tried, and the parts of a reason that lead to each.
 REASON_BUCKETS = (
     ("resolution", ("resolution",)),

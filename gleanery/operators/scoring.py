@@ -40,9 +40,23 @@ def weighted_score(source: Column, aesthetic: Column, technical: Column, suitabi
     return aesthetic * weight(0) + technical * weight(1) + suitability * weight(2)
 
 
-def with_fallbacks(aesthetic: Column, raw: Column) -> tuple[Column, Column]:
-    """Scores for rows that no model scored."""
-    return F.coalesce(aesthetic, F.lit(0.61)), F.coalesce(raw, F.lit(5.5))
+def binary_share(positive: Column, negative: Column, temperature: float = 0.1, default: float = 0.75) -> Column:
+    """binary_softmax, or the default where a similarity is missing."""
+    return F.coalesce(binary_softmax(positive, negative, temperature), F.lit(default))
+
+
+def with_fallbacks(aesthetic: Column, raw: Column, technical: Column, suitability: Column, source: Column, s: ScoreSettings, failed: Column | None = None) -> Column:
+    """Struct (aesthetic, raw, technical, suitability, final, tier, confidence) of rows that models may
+    not have scored (null). Without any: a final score of .61, standard, no confidence. Without the
+    aesthetic one: .61 and 5.5. Without the others: .5 each. A row that failed keeps its aesthetic
+    score, or its final one if that is higher, and has no confidence."""
+    none = aesthetic.isNull() & technical.isNull() & suitability.isNull()
+    a, r, t, u = F.coalesce(aesthetic, F.lit(0.61)), F.coalesce(raw, F.lit(5.5)), F.coalesce(technical, F.lit(0.5)), F.coalesce(suitability, F.lit(0.5))
+    final = F.when(none, F.lit(0.61)).otherwise(weighted_score(source, a, t, u, s))
+    sure = F.when(none, F.lit(0.0)).otherwise(confidence([a, t, u]))
+    if failed is not None:
+        final, sure = F.when(failed, F.greatest(F.coalesce(aesthetic, F.lit(0.0)), F.lit(0.0))).otherwise(final), F.when(failed, F.lit(0.0)).otherwise(sure)
+    return F.struct(a.alias("aesthetic"), r.alias("raw"), t.alias("technical"), u.alias("suitability"), final.alias("final"), F.when(none, F.lit("standard")).otherwise(tier(r)).alias("tier"), sure.alias("confidence"))
 
 
 def confidence(scores: list[Column]) -> Column:

@@ -63,7 +63,12 @@ def next_run(names: DataFrame, name: str, base: Column, extension: str = ".json.
     return runs.select("base", following.alias("next_name"))
 
 
-def expired(df: DataFrame, key: str, order: str, keep: int) -> DataFrame:
-    """All but the newest `keep` rows of each key."""
-    age = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    return df.withColumn("age", age).where(F.col("age") > keep)
+def expired(df: DataFrame, key: str, order: str, keep: int, parts: int = 256) -> DataFrame:
+    """All but the newest `keep` rows of each key. No key is sorted in one task: each of `parts`
+    parts of a key gives its newest, and the cut is found among these."""
+    part = F.pmod(F.xxhash64(order), F.lit(parts))
+    newest = df.select(key, order, part.alias("gleanery__part"))
+    newest = newest.withColumn("gleanery__k", F.row_number().over(Window.partitionBy(key, "gleanery__part").orderBy(F.desc(order)))).where(F.col("gleanery__k") <= keep)
+    cut = newest.withColumn("gleanery__k", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where(F.col("gleanery__k") == keep)
+    cut = cut.select(F.col(key).alias("gleanery__key"), F.col(order).alias("gleanery__cut"))
+    return df.join(cut, F.col(key).eqNullSafe(F.col("gleanery__key"))).where(F.col(order) < F.col("gleanery__cut")).select(*df.columns)

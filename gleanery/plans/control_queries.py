@@ -85,11 +85,12 @@ def degradation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.degradation(errors)
 
 
-@query("""WITH h AS (SELECT vec_id, [((embedding[1]::DOUBLE + 1) * 180), ((embedding[2]::DOUBLE + 1) * 180), ((embedding[3]::DOUBLE + 1) * 180), ((embedding[4]::DOUBLE + 1) * 180), ((embedding[5]::DOUBLE + 1) * 180)] AS hues FROM embeddings)
-    SELECT vec_id, round(least(sum(CASE WHEN abs(hues[i] - hues[j]) > 150 AND abs(hues[i] - hues[j]) < 210 THEN 1.0 WHEN abs(hues[i] - hues[j]) < 45 THEN 0.5 ELSE 0 END)::DOUBLE / 5, 1.0), 6) AS harmony
-    FROM h, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j) WHERE i < j GROUP BY vec_id""")
+@query("""WITH h AS (SELECT vec_id, list_transform(range(5), lambda k: (degrees(atan2(embedding[2 * k + 2]::DOUBLE, embedding[2 * k + 1]::DOUBLE)) + 360) % 360) AS hues FROM embeddings),
+    d AS (SELECT vec_id, least(abs(hues[i] - hues[j]), 360 - abs(hues[i] - hues[j])) AS apart FROM h, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j) WHERE i < j)
+    SELECT vec_id, round(least(sum(CASE WHEN apart > 150 AND apart < 210 THEN 1.0 WHEN apart < 45 THEN 0.5 ELSE 0 END)::DOUBLE / 5, 1.0), 6) AS harmony FROM d GROUP BY vec_id""")
 def colour_harmony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hues = F.transform(F.slice("embedding", 1, 5), lambda x: (x.cast("double") + 1) * 180)
+    v = F.col("embedding")
+    hues = F.array(*[F.pmod(F.degrees(F.atan2(v[2 * k + 1].cast("double"), v[2 * k].cast("double"))) + 360, F.lit(360.0)) for k in range(5)])
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(image.harmony(hues), 6).alias("harmony"))
 
 
@@ -103,11 +104,12 @@ def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("vec_id", F.round(cast, 6).alias("cast_score"), F.round(image.composite(cast, F.abs(r - g) / 400, F.abs(g - b) / 400, (r + g + b) / 3 / 255), 6).alias("composite"))
 
 
-@query("""SELECT user_id, CASE WHEN avg(value) / 500 < 0.2 THEN 'minimal' ELSE 'more' END AS kind, round(CASE WHEN avg(value) / 400 BETWEEN 0.4 AND 0.7 THEN 1.0 WHEN avg(value) / 400 < 0.4 THEN avg(value) / 400 / 0.4 ELSE (1 - avg(value) / 400) / 0.3 END, 6) AS brightness_fit,
+@query("""SELECT user_id, CASE WHEN avg(value) / 500 < 0.2 THEN 'minimal' ELSE 'more' END AS kind, round(greatest(0.0, least(1.0, CASE WHEN avg(value) / 100 BETWEEN 0.4 AND 0.7 THEN 1.0 WHEN avg(value) / 100 < 0.4 THEN avg(value) / 100 / 0.4 ELSE (1 - avg(value) / 100) / 0.3 END)), 6) AS brightness_fit,
+    round(greatest(0.0, least(1.0, CASE WHEN stddev_pop(value) < 20 THEN stddev_pop(value) / 20 * 0.5 WHEN stddev_pop(value) < 40 THEN 0.5 + (stddev_pop(value) - 20) / 40 WHEN stddev_pop(value) <= 80 THEN 1.0 ELSE 1.0 - (stddev_pop(value) - 80) / 100 END)), 6) AS contrast_fit,
     round(greatest(0.0, least(1.0, (stddev_pop(value) - 20) / 50)), 6) AS interest FROM events GROUP BY user_id""")
 def brightness_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "events").groupBy("user_id").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"))
-    return s.select("user_id", F.when(F.col("mean") / 500 < 0.2, "minimal").otherwise("more").alias("kind"), F.round(image.brightness_score(F.col("mean") / 400), 6).alias("brightness_fit"), F.round(image.visual_interest(F.col("deviation")), 6).alias("interest"))
+    return s.select("user_id", F.when(F.col("mean") / 500 < 0.2, "minimal").otherwise("more").alias("kind"), F.round(image.brightness_score(F.col("mean") / 100), 6).alias("brightness_fit"), F.round(image.contrast_score(F.col("deviation")), 6).alias("contrast_fit"), F.round(image.visual_interest(F.col("deviation")), 6).alias("interest"))
 
 
 @query("""WITH a AS (SELECT strftime(ts, '%Y_%m_%d') || '.json.gz' AS name FROM events WHERE user_id % 2 = 0), b AS (SELECT strftime(ts, '%Y_%m_%d') || '-2.json.gz' AS name FROM events WHERE user_id % 3 = 0) SELECT name FROM a UNION SELECT name FROM b""")

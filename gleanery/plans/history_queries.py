@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions import text
-from gleanery.operators import checks, reports, scoring, windows
+from gleanery.operators import checks, reports, scoring, vectors, windows
 from gleanery.plans.registry import query, table
 from gleanery.sources import html, manifest, records
 
@@ -85,23 +85,46 @@ def sampled_link_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("n", "failures", F.round(rate, 4).alias("failure_rate"), (rate < 0.10).alias("passed"))
 
 
-@query("""WITH c AS (SELECT 'required_fields' AS check_name, (SELECT count(*) FROM documents WHERE nullif(text, '') IS NULL OR nullif(source, '') IS NULL) AS n_errors
-    UNION ALL SELECT 'embedding_dimensions', (SELECT count(*) FROM embeddings WHERE len(embedding) <> 64)
-    UNION ALL SELECT 'duplicate_ids', (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
-    UNION ALL SELECT 'hash_collisions', (SELECT count(*) FROM (SELECT 1 FROM documents GROUP BY text HAVING count(*) > 1))
-    UNION ALL SELECT 'score_range', (SELECT count(*) FROM events WHERE value < 0 OR value > 1000)
-    UNION ALL SELECT 'categories', 0)
-    SELECT check_name, n_errors = 0 AS passed, n_errors::BIGINT AS n_errors, n_errors::VARCHAR AS detail, bool_and(n_errors = 0) OVER () AS all_passed FROM c""")
-def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+LANGS = ("en", "de", "fr", "es")
+
+CHECKS = f"""e AS (SELECT 'required_fields' AS check_name, doc_id::VARCHAR AS id, doc_id AS k FROM documents WHERE nullif(text, '') IS NULL OR nullif(source, '') IS NULL
+    UNION ALL SELECT 'embedding_dimensions', vec_id::VARCHAR, vec_id FROM embeddings WHERE len(embedding) <> 64 OR vec_id % 50 = 7
+    UNION ALL SELECT 'duplicate_ids', l_orderkey::VARCHAR, l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+    UNION ALL SELECT 'hash_collisions', min(doc_id)::VARCHAR, min(doc_id) FROM documents GROUP BY text HAVING count(*) > 1
+    UNION ALL SELECT 'score_range', event_id::VARCHAR, event_id FROM events WHERE value < 0 OR value > 300
+    UNION ALL SELECT 'categories', doc_id::VARCHAR, doc_id FROM documents WHERE lang IS NULL OR lang NOT IN {LANGS[:3]}
+    UNION ALL SELECT 'links', page_id::VARCHAR, page_id FROM (SELECT * FROM pages ORDER BY md5(url), url LIMIT 50) WHERE page_id % 11 = 0),
+    n AS (SELECT unnest(['required_fields', 'embedding_dimensions', 'duplicate_ids', 'hash_collisions', 'score_range', 'categories', 'links']) AS check_name),
+    f AS (SELECT check_name, list_sort(list(id)) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY k) AS r FROM e) WHERE r <= 20 GROUP BY check_name),
+    c AS (SELECT check_name, count(e.id) AS n_errors, coalesce('["' || array_to_string(any_value(f.ids), '","') || '"]', '[]') AS detail FROM n LEFT JOIN e USING (check_name) LEFT JOIN f USING (check_name) GROUP BY check_name)"""
+
+
+def _checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     docs = table(spark, sf_dir, "documents")
     empty = F.nullif("text", F.lit("")).isNull() | F.nullif("source", F.lit("")).isNull()
-    errors = {
-        "required_fields": docs.agg(F.count_if(empty).alias("n_errors")), "embedding_dimensions": table(spark, sf_dir, "embeddings").agg(F.count_if(F.size("embedding") != 64).alias("n_errors")),
-        "duplicate_ids": checks.duplicate_ids(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").agg(F.count("*").alias("n_errors")),
-        "hash_collisions": docs.groupBy(F.sha2(F.col("text").cast("binary"), 256)).count().agg(F.count_if(F.col("count") > 1).alias("n_errors")),
-        "score_range": table(spark, sf_dir, "events").agg(F.count_if((F.col("value") < 0) | (F.col("value") > 1000)).alias("n_errors")), "categories": docs.agg(F.lit(0).cast("long").alias("n_errors")),
+    twins = docs.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n > 1")
+    links = checks.sampled(table(spark, sf_dir, "pages").select("page_id", "url"), "url", 50)
+    return {
+        "required_fields": checks.first_errors(docs.where(empty), "doc_id"), "embedding_dimensions": checks.first_errors(table(spark, sf_dir, "embeddings").where((F.size("embedding") != 64) | (F.col("vec_id") % 50 == 7)), "vec_id"),
+        "duplicate_ids": checks.first_errors(checks.duplicate_ids(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber"), "l_orderkey"), "hash_collisions": checks.first_errors(twins, "doc_id"),
+        "score_range": checks.first_errors(table(spark, sf_dir, "events").where((F.col("value") < 0) | (F.col("value") > 300)), "event_id"),
+        "categories": checks.first_errors(docs.where(~F.coalesce(F.col("lang").isin(*LANGS[:3]), F.lit(False))), "doc_id"), "links": checks.first_errors(links.where("page_id % 11 = 0"), "page_id"),
     }
-    return checks.report([checks.check(name, e, F.col("n_errors")) for name, e in errors.items()])
+
+
+@query(f"WITH {CHECKS} SELECT check_name, n_errors = 0 AS passed, n_errors::BIGINT AS n_errors, detail, bool_and(n_errors = 0) OVER () AS all_passed FROM c")
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven checks, with the first 20 ids of each that fail."""
+    return checks.validation(_checks(spark, sf_dir))
+
+
+QUICK = ("required_fields", "duplicate_ids", "score_range", "categories")
+
+
+@query(f"WITH {CHECKS} SELECT check_name, n_errors = 0 AS passed, n_errors::BIGINT AS n_errors, detail, bool_and(n_errors = 0) OVER () AS all_passed FROM c WHERE check_name IN {QUICK}")
+def quick_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = _checks(spark, sf_dir)
+    return checks.validation(every, frozenset(every) - set(QUICK), quick=True)
 
 
 @query("""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link, generate_subscripts(regexp_extract_all(html, 'href="([^"]+)"', 1), 1) - 1 AS position FROM pages)
@@ -115,11 +138,12 @@ SLUG = r"""p AS (SELECT page_id, url, list_extract(string_split(regexp_replace(r
 
 
 @query(rf"""WITH {SLUG} SELECT page_id, coalesce(nullif(regexp_extract(name, '^(\d+)', 1), ''), substr(md5(name), 1, 8)) AS slug_id, list_filter(parts, lambda x: regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$'))[1] AS resolution,
-    array_to_string(list_filter(parts[2:], lambda x: NOT regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$') AND NOT list_contains(['4k', 'hd', 'desktop', 'wallpaper', 'background', 'photo', 'image'], lower(x))), ' ') AS words FROM s""")
+    array_to_string(list_filter(parts[2:], lambda x: NOT regexp_matches(x, '^\d{{3,5}}x\d{{3,5}}$') AND NOT list_contains(['4k', 'hd', 'desktop', 'wallpaper', 'background', 'photo', 'image'], lower(x))), ' ') AS words,
+    coalesce(nullif(array_to_string(list_transform(regexp_extract_all(lower(words), '(\p{{L}}+|\P{{L}}+)'), lambda x: upper(x[1:1]) || x[2:]), ''), ''), 'None') AS title FROM s""")
 def slug_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = html.file_name(F.col("url"))
     words = F.filter(F.slice(text.slug_parts(name), 2, 1 << 20), lambda p: ~p.rlike(r"^\d{3,5}x\d{3,5}$") & ~F.lower(p).isin(*text.SLUG_STOP_WORDS))
-    return table(spark, sf_dir, "pages").select("page_id", text.slug_id(name).alias("slug_id"), text.slug_resolution(name).alias("resolution"), F.array_join(words, " ").alias("words"))
+    return table(spark, sf_dir, "pages").select("page_id", text.slug_id(name).alias("slug_id"), text.slug_resolution(name).alias("resolution"), F.array_join(words, " ").alias("words"), text.slug_title(name, F.lit("None")).alias("title"))
 
 
 EXT = r"lower(regexp_replace(regexp_replace({0}, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''))"
@@ -137,7 +161,8 @@ def extension_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.extension(url, kind).alias("extension"), text.is_supported(url, kind).alias("supported"))
 
 
-@query()
+@query("""WITH l AS (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1) AS links FROM pages), u AS (SELECT page_id, unnest(links) AS link, generate_subscripts(links, 1) - 1 AS position FROM l)
+    SELECT page_id, position::INTEGER AS position, replace(replace(replace(replace(link, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS href, false AS skipped FROM u""")
 def html_dom_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors outside of ad containers: the ancestor rule needs a parser."""
     return html.dom_links(table(spark, sf_dir, "pages"), "ad")
@@ -161,33 +186,53 @@ def landscape_topk_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.capped(part, "p_brand", windows.landscape_first(F.col("width"), F.col("height"), "p_partkey"), F.lit(5)).select("p_partkey", "p_brand", "position")
 
 
-@query("""SELECT doc_id, CASE WHEN lower(source) LIKE '%src11%' THEN 'nature' WHEN lower(text) LIKE '%tion%' AND lower(text) LIKE '%license%' THEN 'legal' WHEN lower(text) LIKE '%license%' THEN 'legal' WHEN lower(text) LIKE '%quele%' THEN 'french' WHEN lower(text) LIKE '%ción%' THEN 'spanish' WHEN lower(text) LIKE '%ung%' THEN 'german' ELSE 'general' END AS category,
-    CASE WHEN lower(source) LIKE '%src11%' THEN 'src11' WHEN lower(text) LIKE '%license%' THEN 'license' WHEN lower(text) LIKE '%quele%' THEN 'quele' WHEN lower(text) LIKE '%ción%' THEN 'ción' WHEN lower(text) LIKE '%ung%' THEN 'ung' END AS keyword FROM documents""")
+KEYS = {"legal": ("license",), "french": ("quele",), "spanish": ("ción",), "german": ("ung",)} | text.KEYWORDS
+SUBS = text.SUB_SOURCES | {"src11": ("nature", ("landscape", "photography"))}
+
+
+def _keyword_sql(part: int) -> str:
+    found = [(f"lower(source) LIKE '%{name}%'", (category, ",".join(more))) for name, (category, more) in SUBS.items()]
+    found += [(f"lower(text) LIKE '%{word}%'", (category, word)) for category, words in KEYS.items() for word in words]
+    return "CASE " + " ".join(f"WHEN {test} THEN '{values[part]}'" for test, values in found) + f" ELSE '{('general', '')[part]}' END"
+
+
+@query(f"SELECT doc_id, {_keyword_sql(0)} AS category, {_keyword_sql(1)} AS subcategories FROM documents")
 def keyword_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = {"legal": ("license",), "french": ("quele",), "spanish": ("ción",), "german": ("ung",)}
-    c = text.keyword_category(F.col("text"), None, words)
-    c = F.when(F.lower("source").contains("src11"), F.struct(F.lit("nature").alias("category"), F.lit("src11").alias("keyword"))).otherwise(c)
-    return table(spark, sf_dir, "documents").select("doc_id", c.alias("c")).select("doc_id", "c.category", "c.keyword")
+    c = text.keyword_category(F.col("text"), F.col("source"), KEYS, SUBS)
+    return table(spark, sf_dir, "documents").select("doc_id", c.alias("c")).select("doc_id", "c.category", F.array_join("c.subcategories", ",").alias("subcategories"))
 
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     raw = 1 + (F.col("n_chars") % 1000) / 100.0
+    k = F.col("doc_id")
     entry = manifest.compact_entry(
-        F.col("doc_id"), F.concat(F.lit("doc "), F.col("doc_id").cast("string")), F.col("lang"), F.col("source"), F.lit(1704067200) + F.col("doc_id"), F.col("n_chars"), F.lit(100), F.col("n_chars") * 3, scoring.normalise_aesthetic(raw), scoring.tier(raw), raw,
-        url=F.when(F.col("quality") == 1, F.concat(F.lit("https://m.example.org/"), F.col("doc_id").cast("string"))), artist=F.when(F.col("doc_id") % 2 == 0, F.lit("Unknown")).otherwise(F.col("source")),
+        k, F.concat(F.lit("doc "), k.cast("string")), F.col("lang"), F.col("source"), F.lit(1704067200) + k, F.col("n_chars"), F.lit(100), F.col("n_chars") * 3, scoring.normalise_aesthetic(raw), scoring.tier(raw), raw,
+        url=F.when(F.col("quality") == 1, F.concat(F.lit("https://m.example.org/"), k.cast("string"))), artist=F.when(k % 2 == 0, F.lit("Unknown")).otherwise(F.col("source")), artist_url=F.when(k % 3 == 0, F.lit("https://a.example.org")),
+        colours=F.array(F.lit("#102030"), F.col("lang")), hue=k % 360, brightness=k % 256, contrast=k / 7, dark=k % 2 == 0, composition=F.lit("centered"), symmetry=k % 100 / 99, depth=F.lit(0.25), complexity=F.lit("low"),
+        focal_point=F.when(k % 5 != 0, F.array(k % 10 / 10, F.lit(0.5))), moods=F.array(F.lit("calm")), styles=F.array().cast("array<string>"), subcategories=F.when(k % 4 == 0, F.array(F.lit("sub"))), model_category=F.when(k % 3 == 0, F.lit("en")), model_confidence=k % 100 / 99,
+        vectors={"mn4": vectors.pack_base64(F.array(*[((k + j) % 256 - 128).cast("tinyint") for j in range(3)]))},
+        sub_source=F.when(k % 6 == 0, F.col("source")), upvotes=k % 2, diversity=k % 3 / 7,
     )
     return d.select("doc_id", entry.alias("entry"))
 
 
-@query("""SELECT d.doc_id::VARCHAR AS id, 'doc ' || d.doc_id AS t, lang AS cat, source AS src, 1704067200 + d.doc_id AS ts, round(n_chars / 100.0::DOUBLE, 4) AS ar, n_chars * 3 AS sz, round((greatest(1.0, least(10.0, 1 + (n_chars % 1000) / 100.0::DOUBLE)) - 1.0) / 9.0, 4) AS qs,
-    CASE WHEN 1 + (n_chars % 1000) / 100.0::DOUBLE >= 6.5 THEN 'premium' WHEN 1 + (n_chars % 1000) / 100.0::DOUBLE >= 5.5 THEN 'standard' WHEN 1 + (n_chars % 1000) / 100.0::DOUBLE >= 4.0 THEN 'acceptable' ELSE 'low' END AS qt, 2 AS v,
-    CASE WHEN quality = 1 THEN 'https://m.example.org/' || d.doc_id END AS url, CASE WHEN d.doc_id % 2 <> 0 THEN source END AS art FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+@query("""WITH d AS (SELECT d.*, quality, d.doc_id AS k, (greatest(1.0, least(10.0, 1 + (n_chars % 1000) / 100.0::DOUBLE)) - 1.0) / 9.0 AS qs0, 1 + (n_chars % 1000) / 100.0::DOUBLE AS raw FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+    SELECT k::VARCHAR AS id, 'doc ' || k AS t, lang AS cat, source AS src, 1704067200 + k AS ts, round(n_chars / 100.0::DOUBLE, 2) AS ar, n_chars * 3 AS sz, round(qs0::DOUBLE, 3) AS qs, round(raw::DOUBLE, 1) AS aes,
+    CASE WHEN raw >= 6.5 THEN 'premium' WHEN raw >= 5.5 THEN 'standard' WHEN raw >= 4.0 THEN 'acceptable' ELSE 'low' END AS qt, 2 AS v, '#102030,' || lang AS col, (k % 360)::INTEGER AS hue, (k % 256)::INTEGER AS bri, round(k / 7.0::DOUBLE, 1) AS ctr, k % 2 = 0 AS dark,
+    round(k % 100 / 99.0::DOUBLE, 2) AS symmetry, CASE WHEN k % 5 <> 0 THEN k % 10 / 10.0::DOUBLE ELSE 0.5 END AS focal_x,
+    to_base64(unhex(printf('%02x%02x%02x', ((k % 256) + 128) % 256, ((k + 1) % 256 + 128) % 256, ((k + 2) % 256 + 128) % 256))) AS mn4,
+    CASE WHEN k % 4 = 0 THEN 'sub' END AS sub, CASE WHEN k % 3 = 0 AND lang <> 'en' THEN 'en' END AS mlc, CASE WHEN k % 3 = 0 AND lang <> 'en' THEN round(k % 100 / 99.0::DOUBLE, 2) END AS mlcf,
+    CASE WHEN k % 6 = 0 THEN source END AS sr, CASE WHEN k % 2 <> 0 THEN 1 END::BIGINT AS up, k % 6 = 0 OR k % 2 <> 0 AS has_origin,
+    CASE WHEN quality = 1 THEN 'https://m.example.org/' || k END AS url, CASE WHEN k % 2 <> 0 THEN source END AS art, CASE WHEN k % 2 <> 0 AND k % 3 = 0 THEN 'https://a.example.org' END AS artu, CASE WHEN k % 3 > 0 THEN round(k % 3 / 7.0::DOUBLE, 2) END AS cdiv FROM d""")
 def manifest_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _entries(spark, sf_dir).select("entry.id", "entry.t", "entry.cat", "entry.src", "entry.ts", "entry.ar", "entry.sz", "entry.qs", "entry.qt", "entry.v", "entry.url", "entry.art")
+    plain = [f"entry.{c}" for c in ("id", "t", "cat", "src", "ts", "ar", "sz", "qs", "aes", "qt", "v", "hue", "bri", "ctr", "dark", "mlc", "mlcf", "url", "art", "artu", "cdiv")]
+    return _entries(spark, sf_dir).select(
+        *plain, F.array_join("entry.col", ",").alias("col"), F.col("entry.comp.s").alias("symmetry"), F.col("entry.comp.fp")[0].alias("focal_x"), "entry.emb.mn4", F.col("entry.sub")[0].alias("sub"), "entry.srcm.sr", "entry.srcm.up", F.col("entry.srcm").isNotNull().alias("has_origin"),
+    )
 
 
-@query()
+@query("SELECT doc_id::VARCHAR AS id, true AS same FROM documents")
 def manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries written as compressed JSON and read again, held against what was written."""
     from gleanery.sources.scratch import scratch_path
@@ -200,24 +245,24 @@ def manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("id", ((F.col("t") == F.col("t0")) & (F.col("qs") == F.col("qs0")) & (F.col("dim") == F.col("dim0")) & F.col("url").eqNullSafe(F.col("url0"))).alias("same"))
 
 
-NAMES = "n AS (SELECT strftime(ts, '%Y_%m_%d') AS base, CASE WHEN event_id % 7 = 0 THEN '.json.gz' WHEN event_id % 7 < 6 THEN '-' || (event_id % 9 + 2) || '.json.gz' ELSE '-x.json.gz' END AS rest FROM events WHERE event_id % 40 = 0)"
+NAMES = "n AS (SELECT strftime(ts, '%Y_%m_%d') AS base, CASE WHEN event_id % 7 = 0 THEN '.json.gz' WHEN event_id % 7 < 6 THEN '-' || (event_id % 9 + 2) || '.json.gz' ELSE '-x.json.gz' END AS rest FROM events)"
 
 
 @query(rf"""WITH {NAMES}, r AS (SELECT base, max(CASE WHEN rest = '.json.gz' THEN 1 ELSE try_cast(nullif(regexp_extract(rest, '^-(\d+)\.json\.gz$', 1), '') AS INTEGER) END) AS runs FROM n GROUP BY base)
     SELECT base, CASE WHEN coalesce(runs, 0) = 0 THEN base || '.json.gz' ELSE base || '-' || (runs + 1) || '.json.gz' END AS next_name FROM r""")
 def next_run_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of existing manifests are derived from some events: the sparse ids are the fixture."""
+    """Names of existing manifests are derived from the events."""
     k = F.col("event_id")
     rest = F.when(k % 7 == 0, ".json.gz").when(k % 7 < 6, F.concat(F.lit("-"), (k % 9 + 2).cast("string"), F.lit(".json.gz"))).otherwise("-x.json.gz")
-    names = table(spark, sf_dir, "events").where(k % 40 == 0).select(F.date_format("ts", "yyyy_MM_dd").alias("day"), rest.alias("rest"))
+    names = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy_MM_dd").alias("day"), rest.alias("rest"))
     names = names.select("day", F.concat("day", "rest").alias("name"))
     return windows.next_run(names, "name", F.col("day"))
 
 
-@query("WITH r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events) SELECT event_id, event_type, age::INTEGER AS age FROM r WHERE age > 30")
+@query("WITH r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events) SELECT event_id, event_type FROM r WHERE age > 30")
 def delta_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", F.struct("ts", "event_id").alias("made"))
-    return windows.expired(events, "event_type", "made", 30).select("event_id", "event_type", "age")
+    return windows.expired(events, "event_type", "made", 30).select("event_id", "event_type")
 
 
 @query("""WITH a AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus <> 'P' AS ok, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) AS k FROM orders),

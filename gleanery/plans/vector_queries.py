@@ -6,16 +6,19 @@ small image.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.functions import image
+from gleanery.functions import image, pixels, vocabularies
 from gleanery.operators import checks, dedup, scoring, vectors
 from gleanery.plans.registry import query, table
 
-RADIUS = 18
+RADIUS = 10
 
-HASHES = """h AS (SELECT vec_id, list_reduce(list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END::UBIGINT), lambda a, b: ((a % 9223372036854775808::UBIGINT) * 2 + b)::UBIGINT, 0::UBIGINT) AS p FROM embeddings)"""
+HASHES = """h0 AS (SELECT vec_id, list_reduce(list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END::UBIGINT), lambda a, b: ((a % 9223372036854775808::UBIGINT) * 2 + b)::UBIGINT, 0::UBIGINT) AS p0 FROM embeddings),
+    h AS (SELECT vec_id, p0 AS p FROM h0 UNION ALL SELECT vec_id + 1000000, xor(p0, (vec_id * 7919 % 1048576)::UBIGINT) FROM h0)"""
 
 CENTROIDS = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
     d AS (SELECT label, i, avg(v[i]) AS m FROM e, (SELECT unnest(range(1, 65)) AS i) GROUP BY label, i),
@@ -25,12 +28,16 @@ SCORES = CENTROIDS + """, s AS (SELECT vec_id, cs.label, list_dot_product(v, cen
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select("vec_id", dedup.sign_hash(F.col("embedding")).alias("p"))
+    """The vectors' hashes, and for each another one with up to 20 of its last bits changed, so that
+    some have neighbours within the radius."""
+    own = table(spark, sf_dir, "embeddings").select("vec_id", dedup.sign_hash(F.col("embedding")).alias("p"))
+    return own.unionByName(own.select((F.col("vec_id") + 1_000_000).alias("vec_id"), F.col("p").bitwiseXOR(F.col("vec_id") * 7919 % 1048576).alias("p")))
 
 
-def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, scores: the cosines to the centroids of all labels."""
     items = table(spark, sf_dir, "embeddings")
-    return vectors.label_scores(items, vectors.centroids(items, "label", "embedding"), "vec_id", "embedding")
+    return vectors.with_scores(items.select("vec_id", "embedding"), vectors.centroids(items, "label", "embedding").withColumn("label", F.col("label").cast("string")), "embedding")
 
 
 def _pairs(h: DataFrame) -> DataFrame:
@@ -56,19 +63,24 @@ def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {HASHES} SELECT a.vec_id AS id_a, arg_min(b.vec_id, b.vec_id) AS match_id, arg_min(bit_count(xor(a.p, b.p)), b.vec_id)::INTEGER AS distance, count(*) AS n_within
-    FROM h a JOIN h b ON b.vec_id % 2 = 0 AND a.vec_id % 2 = 1 WHERE bit_count(xor(a.p, b.p)) <= {RADIUS + 2} GROUP BY a.vec_id""")
+    FROM h a JOIN h b ON b.vec_id < 1000000 AND a.vec_id >= 1000000 WHERE bit_count(xor(a.p, b.p)) <= {RADIUS} GROUP BY a.vec_id""")
 def hamming_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hashes(spark, sf_dir)
-    queries = h.where("vec_id % 2 = 1").select(F.col("vec_id").alias("id_a"), F.col("p").alias("hash_a"))
-    index = h.where("vec_id % 2 = 0").select(F.col("vec_id").alias("id_b"), F.col("p").alias("hash_b"), F.col("vec_id").alias("seq"))
-    return dedup.first_match(queries, index, RADIUS + 2)
+    queries = h.where("vec_id >= 1000000").select(F.col("vec_id").alias("id_a"), F.col("p").alias("hash_a"))
+    index = h.where("vec_id < 1000000").select(F.col("vec_id").alias("id_b"), F.col("p").alias("hash_b"), F.col("vec_id").alias("seq"))
+    return dedup.first_match(queries, index, RADIUS)
 
 
 @query(f"""WITH {SCORES}, p AS (SELECT vec_id, max(score) FILTER (label = 0) AS pos, max(score) FILTER (label = 1) AS neg FROM s GROUP BY vec_id)
     SELECT vec_id, round(1.0 / (1.0 + exp(-(pos - neg) / 0.07)), 6) AS share FROM p""")
 def binary_prompt_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = scores(spark, sf_dir).groupBy("vec_id").agg(F.max(F.when(F.col("label") == 0, F.col("score"))).alias("pos"), F.max(F.when(F.col("label") == 1, F.col("score"))).alias("neg"))
-    return both.select("vec_id", F.round(scoring.binary_softmax(F.col("pos"), F.col("neg"), 0.07), 6).alias("share"))
+    of = lambda label: F.get(F.filter("scores", lambda s: s["label"] == label), 0)["score"]
+    return scored(spark, sf_dir).select("vec_id", F.round(scoring.binary_softmax(of("0"), of("1"), 0.07), 6).alias("share"))
+
+
+def _ranked(df: DataFrame, labels: Column, value: str, digits: int) -> DataFrame:
+    rows = df.select("vec_id", F.posexplode(labels).alias("rank", "s"))
+    return rows.select("vec_id", F.col("s.label").cast("int").alias("label"), (F.col("rank") + 1).alias("rank"), F.round("s.score", digits).alias(value))
 
 
 @query(f"""WITH {SCORES}, x AS (SELECT *, exp(100.0 * (score - max(score) OVER (PARTITION BY vec_id))) AS ex FROM s), p AS (SELECT vec_id, label, ex / sum(ex) OVER (PARTITION BY vec_id) AS p FROM x),
@@ -76,8 +88,8 @@ def binary_prompt_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT vec_id, label, rank::INTEGER AS rank, round(p, 5) AS p FROM r WHERE rank = 1 OR (rank = 2 AND p > 0.1)""")
 def zero_shot_single_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category and, from a share of .1 on, the next one."""
-    best = vectors.softmax_labels(scores(spark, sf_dir), "vec_id", 100.0, 2)
-    return best.where("rank = 1 or p > 0.1").select("vec_id", "label", "rank", F.round("p", 5).alias("p"))
+    best = F.filter(vectors.classify(F.col("scores"), "single"), lambda s, k: (k == 0) | (s["score"] > 0.1))
+    return _ranked(scored(spark, sf_dir), best, "p", 5)
 
 
 @query(f"""WITH {SCORES}, a AS (SELECT *, score * CASE label WHEN 3 THEN 0.65 WHEN 5 THEN 0.8 WHEN 7 THEN 0.55 ELSE 1.0 END::DOUBLE AS adj FROM s),
@@ -85,14 +97,61 @@ def zero_shot_single_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     k AS (SELECT * FROM b WHERE adj >= cut AND adj >= 0.75 * top), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY adj DESC, label) AS rank FROM k)
     SELECT vec_id, label, rank::INTEGER AS rank, round(adj, 6) AS adjusted FROM r WHERE rank <= 3""")
 def zero_shot_multi_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = vectors.relative_labels(scores(spark, sf_dir), "vec_id", {3: 0.65, 5: 0.80, 7: 0.55}, 3)
-    return out.select("vec_id", "label", "rank", F.round("adjusted", 6).alias("adjusted"))
+    return _ranked(scored(spark, sf_dir), vectors.classify(F.col("scores"), "multi", penalties={"3": 0.65, "5": 0.80, "7": 0.55}), "adjusted", 6)
 
 
 @query(f"""WITH {SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS rank FROM s WHERE score >= 0.25)
     SELECT vec_id, label, round(score, 6) AS score FROM r WHERE rank <= 2""")
 def threshold_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.top_k(scores(spark, sf_dir).where("score >= 0.25"), "vec_id", 2).select("vec_id", "label", F.round("score", 6).alias("score"))
+    return _ranked(scored(spark, sf_dir), vectors.classify(F.col("scores"), "threshold"), "score", 6).drop("rank")
+
+
+def _prompt_wave(prompts: list[str]) -> list[list[float]]:
+    """A stand-in for a text encoder: the k-th prompt is a wave over 64 dimensions."""
+    return [[math.cos(0.7 * k * (i + 1) + 1.3 * i) for i in range(64)] for k in range(len(prompts))]
+
+
+def _vocabulary_sql(vocabulary: dict[str, str]) -> str:
+    labels = ", ".join(f"'{x}'" for x in vocabulary)
+    return f"""e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), l AS (SELECT unnest([{labels}]) AS label, unnest(range({len(vocabulary)})) AS k),
+    c AS (SELECT label, k, list_transform(range(64), lambda i: cos(0.7::DOUBLE * k * (i + 1) + 1.3::DOUBLE * i)) AS w FROM l),
+    s AS (SELECT vec_id, label, k, list_dot_product(v, w) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(w, w))) AS score FROM e, c)"""
+
+
+def _vocabulary_scores(spark: SparkSession, sf_dir: str, vocabulary: dict[str, str]) -> DataFrame:
+    return vectors.with_scores(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), vectors.prompt_vectors(spark, vocabulary, _prompt_wave), "embedding")
+
+
+@query(f"""WITH {_vocabulary_sql(vocabularies.CATEGORIES)}, x AS (SELECT *, exp(100.0 * (score - max(score) OVER (PARTITION BY vec_id))) AS ex FROM s), p AS (SELECT vec_id, label, k, ex / sum(ex) OVER (PARTITION BY vec_id) AS p FROM x),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, k) AS rank FROM p)
+    SELECT vec_id, max(label) FILTER (rank = 1) AS category, coalesce(max(label) FILTER (rank = 2 AND p > 0.1), '') AS subcategories, round(max(p) FILTER (rank = 1), 5) AS confidence FROM r GROUP BY vec_id""")
+def category_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category, subcategory and confidence over the whole vocabulary of categories."""
+    c = _vocabulary_scores(spark, sf_dir, vocabularies.CATEGORIES).select("vec_id", vectors.category_of(F.col("scores")).alias("c"))
+    return c.select("vec_id", "c.category", F.array_join("c.subcategories", ",").alias("subcategories"), F.round("c.confidence", 5).alias("confidence"))
+
+
+def _tags_sql(vocabulary: dict[str, str]) -> str:
+    penalty = " ".join(f"WHEN '{k}' THEN {v}" for k, v in vocabularies.PENALTIES.items())
+    return f"""WITH {_vocabulary_sql(vocabulary)}, a AS (SELECT *, score * (CASE label {penalty} ELSE 1.0 END)::DOUBLE AS adj FROM s),
+    b AS (SELECT *, avg(adj) OVER w + 0.5 * stddev_pop(adj) OVER w AS cut FROM a WINDOW w AS (PARTITION BY vec_id)), t AS (SELECT *, max(adj) OVER (PARTITION BY vec_id) AS top FROM b WHERE adj >= cut),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY adj DESC, k) AS rank FROM t WHERE adj >= 0.75 * top)
+    SELECT vec_id, string_agg(label, ',' ORDER BY rank) AS tags FROM r WHERE rank <= 3 GROUP BY vec_id"""
+
+
+@query(_tags_sql(vocabularies.MOODS))
+def mood_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vocabulary_scores(spark, sf_dir, vocabularies.MOODS).select("vec_id", F.array_join(vectors.tags_of(F.col("scores"), vocabularies.PENALTIES), ",").alias("tags"))
+
+
+@query(_tags_sql(vocabularies.STYLES))
+def style_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vocabulary_scores(spark, sf_dir, vocabularies.STYLES).select("vec_id", F.array_join(vectors.tags_of(F.col("scores"), vocabularies.PENALTIES), ",").alias("tags"))
+
+
+@query(f"WITH {_vocabulary_sql(vocabularies.COMPOSITIONS)} SELECT vec_id, arg_max(label, score) AS composition FROM s GROUP BY vec_id")
+def composition_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vocabulary_scores(spark, sf_dir, vocabularies.COMPOSITIONS).select("vec_id", vectors.composition_of(F.col("scores")).alias("composition"))
 
 
 @query("SELECT vec_id, list_sum(list_transform(embedding, lambda x: trunc(greatest(-128.0, least(127.0, x::DOUBLE * 127.0)))))::BIGINT AS total, list_max(list_transform(embedding, lambda x: trunc(greatest(-128.0, least(127.0, x::DOUBLE * 127.0)))))::INTEGER AS top FROM embeddings")
@@ -117,13 +176,13 @@ def preference_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.orderBy(F.desc("score"), "vec_id").limit(30).select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT vec_id, [v[1:3], v[4:6], v[7:9], v[10:12], v[13:15]] AS c FROM e)
-    SELECT vec_id, round(least(sum(list_distance(c[i], c[j])) / 10, 1.0), 6) AS diversity FROM p, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j) WHERE i < j GROUP BY vec_id""")
+@query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT vec_id, [v[1:3], v[4:6], v[7:9], v[10:12], v[13:15]] AS c FROM (SELECT vec_id, list_transform(v, lambda x: x * 200) AS v FROM e))
+    SELECT vec_id, round(least(sum(list_distance(c[i], c[j])) / 10 / 100, 1.0), 6) AS diversity FROM p, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j) WHERE i < j GROUP BY vec_id""")
 def palette_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean distance of all pairs of five colours, capped at 1."""
-    v = vectors.doubles(F.col("embedding"))
+    """Mean distance of all pairs of five colours over 100, capped at 1."""
+    v = F.transform("embedding", lambda x: x.cast("double") * 200)
     points = F.array(*[F.slice(v, 3 * k + 1, 3) for k in range(5)])
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.least(image.pairwise_mean(points), F.lit(1.0)), 6).alias("diversity"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.least(image.pairwise_mean(points) / 100, F.lit(1.0)), 6).alias("diversity"))
 
 
 @query("SELECT vec_id, ((trunc(degrees(atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE)))::INTEGER % 360 + 360) % 360)::INTEGER AS hue FROM embeddings")
@@ -153,19 +212,61 @@ def symmetry_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(image.symmetry(grid, 8), 6).alias("symmetry"))
 
 
-@query()
+def _pixel(dy: int, dx: int) -> str:
+    """A neighbour in an 8 x 8 list, mirrored at the border without the edge."""
+    at = lambda v, d: f"(CASE WHEN {v} + {d} < 0 THEN 1 WHEN {v} + {d} > 7 THEN 6 ELSE {v} + {d} END)"
+    return f"g[{at('y', dy)} * 8 + {at('x', dx)} + 1]"
+
+
+GREY = """i AS (SELECT vec_id, list_transform(embedding[1:64], lambda v: floor((v::DOUBLE + 1) * 127.5)) AS g FROM embeddings), p AS (SELECT vec_id, g, k // 8 AS y, k % 8 AS x FROM i, (SELECT unnest(range(64)) AS k))"""
+
+SOBEL = f"""{GREY}, d AS (SELECT *, g[y * 8 + x + 1] AS v,
+    {_pixel(-1, 1)} - {_pixel(-1, -1)} + 2 * ({_pixel(0, 1)} - {_pixel(0, -1)}) + {_pixel(1, 1)} - {_pixel(1, -1)} AS sx,
+    {_pixel(1, -1)} - {_pixel(-1, -1)} + 2 * ({_pixel(1, 0)} - {_pixel(-1, 0)}) + {_pixel(1, 1)} - {_pixel(-1, 1)} AS sy,
+    {_pixel(-1, 0)} + {_pixel(1, 0)} + {_pixel(0, -1)} + {_pixel(0, 1)} - 4 * g[y * 8 + x + 1] AS lap FROM p), m AS (SELECT *, sqrt(sx * sx + sy * sy) AS size FROM d)"""
+
+CLAMP = "greatest(0.0, least(1.0, {}))"
+
+
+def _grey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, m: the measures of a vector's 64 values as a grey image of 8 x 8."""
+    grid = F.transform(F.slice("embedding", 1, 64), lambda x: F.floor((x.cast("double") + 1) * 127.5))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", grid.alias("grid")).repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    return rows.select("vec_id", pixels.grey_measures(F.col("grid"), F.lit(8)).alias("m"))
+
+
+@query(f"""WITH {SOBEL}, a AS (SELECT vec_id, var_pop(lap) AS lap, sum(size) + 1e-6 AS total, sum(x * size) AS mx, sum(y * size) AS my, avg(CASE WHEN v >= 50 AND v < 200 THEN 1.0 ELSE 0.0 END) AS mid, avg(CASE WHEN v >= 250 THEN 1.0 ELSE 0.0 END) AS blown,
+        avg(CASE WHEN v < 5 THEN 1.0 ELSE 0.0 END) AS crushed, avg(v) FILTER (x < 4) AS l, avg(v) FILTER (x >= 4) AS r, avg(v) FILTER (y < 4) AS t, avg(v) FILTER (y >= 4) AS b, avg(abs(v - g[y * 8 + 7 - x + 1])) AS differ FROM m GROUP BY vec_id)
+    SELECT vec_id, round({CLAMP.format("(lap - 100) / 1900")}, 6) AS sharpness, round({CLAMP.format("0.7 * mid + 0.3 * (1 - least(5 * blown, 0.5) - least(5 * crushed, 0.5))")}, 6) AS exposure,
+        round(mx / total / 8, 6) AS focal_x, round(my / total / 8, 6) AS focal_y, round({CLAMP.format("sqrt((mx / total - 4) * (mx / total - 4) + (my / total - 4) * (my / total - 4)) / sqrt(32.0) * 2")}, 6) AS off_centre,
+        round({CLAMP.format("1 - (abs(l - r) + abs(t - b)) / 255 / 2")}, 6) AS balance, round(1 - differ / 255, 6) AS mirrored, 1.0::DOUBLE AS artifacts FROM a""")
 def gradient_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sobel, Laplacian and Fourier measures of 8 x 8 grids, with the classes that follow."""
-    grid = F.transform("embedding", lambda x: (x.cast("double") + 1) * 127.5)
-    m = table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id").select("vec_id", image.gradient_measures(grid).alias("m")).select("vec_id", "m.*")
-    return m.withColumn("complexity", image.complexity(F.col("edge_ratio"))).withColumn("composition", image.composition(1 - F.col("off_centre"), F.col("thirds") - 1, F.lit(0)))
+    """Sobel, Laplacian and histogram measures; an image under 64 pixels shows no artifacts."""
+    names = ("sharpness", "exposure", "focal_x", "focal_y", "off_centre", "balance", "mirrored")
+    return _grey(spark, sf_dir).select("vec_id", *[F.round(F.col(f"m.{c}"), 6).alias(c) for c in names], F.col("m.artifacts").alias("artifacts"))
+
+
+@query(f"""WITH {GREY}, f AS (SELECT vec_id, u, v, sqrt(pow(sum(g[y * 8 + x + 1] * cos(2 * pi() * (u * x + v * y) / 8)), 2) + pow(sum(g[y * 8 + x + 1] * sin(2 * pi() * (u * x + v * y) / 8)), 2)) AS size
+        FROM p, (SELECT unnest(range(8)) AS u), (SELECT unnest(range(8)) AS v) GROUP BY vec_id, u, v)
+    SELECT vec_id, round(1 - {CLAMP.format("3 * sum(CASE WHEN sqrt(pow((u + 4) % 8 - 4, 2) + pow((v + 4) % 8 - 4, 2)) > 0.35 * 8 THEN size ELSE 0 END) / (sum(size) + 1e-6)")}, 6) AS busyness FROM f GROUP BY vec_id""")
+def texture_busyness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of high frequencies."""
+    return _grey(spark, sf_dir).select("vec_id", F.round("m.busyness", 6).alias("busyness"))
+
+
+@query()
+def edge_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What thinned and connected edges say: complexity, composition, thirds, depth, lines."""
+    m = _grey(spark, sf_dir).select("vec_id", "m.edge_ratio", "m.thirds", "m.depth", "m.band_depth", "m.leading_lines", "m.mirrored", "m.window_share", "m.n_lines")
+    return m.select("vec_id", "edge_ratio", "thirds", "depth", "band_depth", "leading_lines", image.complexity(F.col("edge_ratio")).alias("complexity"), image.composition(F.col("mirrored"), F.col("window_share"), F.col("n_lines")).alias("composition"))
 
 
 @query()
 def kmeans_palette(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five colours of each vector's values as pixels of three."""
-    pixels = F.transform("embedding", lambda x: x.cast("double") * 100)
-    return table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id").select("vec_id", image.palette(pixels).alias("p")).select("vec_id", "p.*")
+    values = F.transform(F.slice("embedding", 1, 63), lambda x: F.floor((x.cast("double") + 1) * 127.5))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", values.alias("rgb")).repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    return rows.select("vec_id", pixels.palette(F.col("rgb"), F.lit(7), side=None).alias("p")).select("vec_id", "p.*")
 
 
 @query("SELECT vec_id, array_to_string(list_filter(['base', 'wide', 'text', 'self'], lambda m: NOT list_contains(CASE vec_id % 3 WHEN 0 THEN ['base'] WHEN 1 THEN ['base', 'text'] ELSE ['wide', 'self'] END, m)), ',') AS pending FROM embeddings")

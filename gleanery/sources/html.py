@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from gleanery.functions.text import numbered_slug
 
@@ -73,20 +74,27 @@ class _Anchors(HTMLParser):
                 break
 
 
-class DomLinks:
-    """Anchors of a page in order, with the ancestor rule that a pattern can't express."""
-
-    def eval(self, html: str, skip: str):
-        parser = _Anchors(skip)
-        parser.feed(html or "")
-        for k, (href, skipped) in enumerate(parser.found):
-            yield k, href, skipped
-
-
 def dom_links(pages: DataFrame, skip: str = "featured", page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """page_id, position, href, skipped."""
-    spark = pages.sparkSession
-    spark.udtf.register("gleanery_dom_links", udtf(DomLinks, returnType="position int, href string, skipped boolean"))
-    name = "gleanery_pages"
-    pages.select(page_id, html).createOrReplaceTempView(name)
-    return spark.sql(f"SELECT p.{page_id}, d.position, d.href, d.skipped FROM {name} p, LATERAL gleanery_dom_links(p.{html}, '{skip}') d")
+    """page_id, position, href, skipped: anchors of a page in order, with the ancestor rule that a
+    pattern can't express."""
+    kind = pages.schema[page_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, found = [], []
+            for k, page in enumerate(batch.column(1)):
+                parser = _Anchors(skip)
+                parser.feed(page.as_py() or "")
+                owner += [k] * len(parser.found)
+                found += [(n, *f) for n, f in enumerate(parser.found)]
+            if found:
+                position, href, skipped = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(position, pa.int32()), pa.array(href, pa.string()), pa.array(skipped, pa.bool_())], [page_id, "position", "href", "skipped"])
+
+    return pages.select(page_id, html).mapInArrow(run, f"{page_id} {kind}, position int, href string, skipped boolean")
+
+
+def first_of_page(found: DataFrame, page_id: str = "page_id", key: str = "href") -> DataFrame:
+    """The first occurrence of each link of a page; skipped ones don't count."""
+    rows = found.where(~F.col("skipped"))
+    return rows.groupBy(page_id, key).agg(F.min("position").alias("position")).select(page_id, "position", key)

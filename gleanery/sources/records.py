@@ -57,3 +57,24 @@ def local_files(spark: SparkSession, path: str) -> DataFrame:
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     parts = F.split(name, "_")
     return files.select(name.alias("id"), parts[0].alias("source"), F.when(F.size(parts) > 2, parts[1]).alias("sub_source"), F.col("path").alias("filepath"), F.col("length").alias("file_size"), "content")
+
+
+def source_table(spark: SparkSession, lists: dict[str, list[str | dict]], default_cap: int = 100, default_score: int = 50) -> DataFrame:
+    """(kind, name, cap, min_score, place): the sub-sources, queries and pages of a configuration, each a
+    name or a mapping with its own cap and score; a small table, in the order of the lists."""
+    rows = []
+    for kind, entries in lists.items():
+        for k, e in enumerate(entries):
+            given = {"name": e} if isinstance(e, str) else e
+            rows.append((kind, str(given.get("name") or given.get("query") or given.get("url")), int(given.get("limit", default_cap)), int(given.get("min_score", default_score)), k))
+    return spark.createDataFrame(rows, "kind string, name string, cap int, min_score int, place int")
+
+
+def with_fallback(first: DataFrame, second: DataFrame, source: str) -> DataFrame:
+    """Rows of `first`; from the first source on (by place) that has none there, those of `second`:
+    once a listing fails, the feed is used for the rest. Both have columns source and place."""
+    tried = second.select(source, "place").distinct().join(first.select(source).distinct().withColumn("found", F.lit(True)), source, "left")
+    broken = tried.where("found is null").agg(F.min("place").alias("gleanery__from"))  # one row
+    rest = second.crossJoin(F.broadcast(broken)).where(F.col("place") >= F.col("gleanery__from")).drop("gleanery__from")
+    kept = first.crossJoin(F.broadcast(broken)).where(F.col("gleanery__from").isNull() | (F.col("place") < F.col("gleanery__from"))).drop("gleanery__from")
+    return kept.unionByName(rest)

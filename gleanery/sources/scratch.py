@@ -9,11 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """Below spark.checkpoint.dir; only a local master without it gets a temporary folder."""
+    """Below spark.checkpoint.dir; only a master of one process without it gets a temporary folder."""
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.gettempdir()
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="gleanery-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/gleanery-{context.applicationId}/{name}-{uuid.uuid4().hex}"

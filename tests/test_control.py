@@ -67,3 +67,10 @@ def test_stream_batch_runs_again(spark, tmp_path):
             stream = spark.readStream.schema("doc_id long, digest string").option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
             dedup_stream(spark, stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     assert {(r.doc_id, r.digest) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(1, "a"), (2, "b"), (5, "c")}
+
+
+def test_fresh_start_and_memory(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "state"))
+    assert control.fresh_start(spark, [str(tmp_path / "state"), str(tmp_path / "none")]) == [str(tmp_path / "state")] and not (tmp_path / "state").exists()
+    rows = control.memory_status(spark).collect()
+    assert rows and all(r.limit_mb > 0 and r.level == "ok" for r in rows)

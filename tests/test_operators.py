@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery import config
-from gleanery.functions import image, text
+from gleanery.functions import image, pixels, text
 from gleanery.operators import checks, dedup, filters, reports, scoring, vectors, windows
 from gleanery.sources import html, manifest, records
 
@@ -152,8 +152,10 @@ def test_dark_bar_at_the_bottom():
 
 def test_kmeans_orders_by_size():
     points = np.array([[0, 0, 0]] * 30 + [[100, 0, 0]] * 10 + [[0, 100, 0]] * 5 + [[0, 0, 100]] * 3 + [[50, 50, 50]] * 2, float)
-    centres, sizes = image.kmeans(points)
-    assert sizes.tolist() == [30, 10, 5, 3, 2] and np.allclose(centres[0], 0)
+    centres, sizes = pixels.kmeans(np.stack([points, points[::-1]]))
+    for c, s in zip(centres, sizes, strict=True):
+        order = np.argsort(-s)
+        assert s[order].tolist() == [30, 10, 5, 3, 2] and np.allclose(c[order][0], 0)
 
 
 @pytest.mark.parametrize(("x", "q"), [(1.0, 127), (-0.9999, -126), (-2.0, -128), (2.0, 127)])
@@ -168,9 +170,32 @@ def test_base64_packing(spark):
     assert base64.b64decode(out) == b"\xff\x05"
 
 
+def scored(values):
+    return F.array(*[F.struct(F.lit(k).alias("place"), F.lit(f"l{k}").alias("label"), F.lit(v).cast("double").alias("score")) for k, v in enumerate(values)])
+
+
 def test_equal_scores_keep_every_label_then_cut(spark):
-    s = spark.createDataFrame([(1, f"l{k}", 0.25) for k in range(5)], "i int, label string, score double")
-    assert [r.label for r in vectors.relative_labels(s, "i", {}, 3).orderBy("rank").collect()] == ["l0", "l1", "l2"]
+    assert [s.label for s in one(spark, vectors.multi_label(scored([0.25] * 5)))] == ["l0", "l1", "l2"]
+
+
+def test_labels_of_items_without_scores(spark):
+    none = scored([None, None])
+    assert tuple(one(spark, vectors.category_of(none))) == ("general", [], 0.0)
+    assert one(spark, vectors.composition_of(none)) == "balanced" and one(spark, vectors.tags_of(none, {})) == []
+    with pytest.raises(ValueError):
+        vectors.classify(none, "other")
+    some = one(spark, vectors.category_of(scored([0.30, 0.31, 0.295])))
+    assert some.category == "l1" and some.subcategories == ["l0"] and some.confidence == pytest.approx(1 / (1 + math.exp(-1) + math.exp(-1.5)))
+
+
+def test_multi_label_rules(spark):
+    """By hand: penalties, mean plus half a deviation, three quarters of the best."""
+    values, penalties = [0.30, 0.29, 0.10, 0.05, -0.2], {"l0": 0.65}
+    adjusted = [v * penalties.get(f"l{k}", 1.0) for k, v in enumerate(values)]
+    cut = np.mean(adjusted) + 0.5 * np.std(adjusted)
+    want = sorted((k for k, v in enumerate(adjusted) if v >= cut and v >= 0.75 * max(adjusted)), key=lambda k: -adjusted[k])[:3]
+    got = one(spark, vectors.multi_label(scored(values), penalties))
+    assert [s.label for s in got] == [f"l{k}" for k in want] and got[0].score == pytest.approx(max(adjusted))
 
 
 def test_vocabulary_is_checked_before_broadcast(spark):
@@ -197,9 +222,9 @@ def test_extension(spark, url, kind, ext):
 
 
 def test_keyword_order_and_sub_sources(spark):
-    assert tuple(one(spark, text.keyword_category(F.lit("A City by a LAKE")))) == ("nature", "lake")
-    assert tuple(one(spark, text.keyword_category(F.lit("lake"), F.lit("r/Amoled")))) == ("abstract", "amoled")
-    assert tuple(one(spark, text.keyword_category(F.lit("none of them")))) == ("general", None)
+    assert tuple(one(spark, text.keyword_category(F.lit("A City by a LAKE")))) == ("nature", ["lake"])
+    assert tuple(one(spark, text.keyword_category(F.lit("lake"), F.lit("r/Amoled")))) == ("abstract", ["dark", "amoled"])
+    assert tuple(one(spark, text.keyword_category(F.lit("none of them")))) == ("general", [])
 
 
 def test_post_image_rules(spark):
@@ -292,3 +317,80 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "id_a long, hash_a long")
     assert dedup.hamming_join(none, none.toDF("id_b", "hash_b"), 3).count() == 0
     assert reports.histogram(spark.createDataFrame([], "v double"), F.col("v"), 0.0, 1.0, 4).agg(F.sum("n")).first()[0] == 0
+
+
+def test_first_seen_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "k", "c"), (0, "k", "d")], "i int, k string, v string")
+    assert sorted((r.i, r.k, r.v, r.copies) for r in dedup.first_seen(df, F.col("k"), ["i"]).collect()) == [(0, "k", "d", 2), (1, None, "a", 2)]
+
+
+def test_newest_rows_of_each_key_stay(spark):
+    rows = [(k, f"t{k % 3}") for k in range(200)] + [(1000 + k, None) for k in range(3)]
+    df = spark.createDataFrame(rows, "made int, kind string")
+    gone = {r.made for r in windows.expired(df, "kind", "made", 5, parts=4).collect()}
+    want = {m for t in ("t0", "t1", "t2", None) for m in sorted((m for m, k in rows if k == t), reverse=True)[5:]}
+    assert gone == want
+
+
+def test_index_of_four_layers(spark):
+    empty = spark.createDataFrame([], "url string, sha256 string, phash long, id long, seq long")
+    looks = spark.createDataFrame([(0b111, 77, 1), (0b1, 78, 2)], "phash long, id long, seq long")
+    index = dedup.DedupIndex(spark, {"seen_urls": spark.createDataFrame([("u",)], "url string"), "seen_ids": empty.select("id"), "content_hashes": empty, "phash_index": looks}, radius=3)
+    df = spark.createDataFrame([(1, "u", "s", 0), (2, "v", "s", 0), (3, "v", "s", -1), (4, None, None, None)], "id long, url string, sha256 string, phash long")
+    out = {r.id: (r.reason, r.match_id) for r in index.check(df).collect()}
+    assert out == {1: ("URL already fetched", None), 2: ("Visual match", 77), 3: (None, None), 4: (None, None)}
+    assert {r.url: r.surely_new for r in index.surely_new(spark.createDataFrame([("u",), ("w",)], "url string"), "url").collect()} == {"u": False, "w": True}
+    with pytest.raises(ValueError, match="phash_index"):
+        dedup.DedupIndex(spark, {k: empty for k in ("seen_urls", "seen_ids", "content_hashes")})
+
+
+def test_fetched_responses_and_bars(spark):
+    reason = lambda s, c, u: one(spark, filters.fetch_reason(F.lit(s).cast("int"), F.lit(c).cast("string"), F.lit(u)))
+    assert reason(200, "image/png", "https://h/a") is None and reason(404, "image/png", "https://h/a.png") == "Download failed: HTTP 404"
+    assert reason(200, "text/html", "https://h/a.png") == "Download failed: no image" and reason(200, "image/gif", "https://h/a.gif") == "Download failed: type"
+    df = spark.createDataFrame([("Reddit", True, False), ("reddit", False, True), ("pexels", True, False)], "s string, c boolean, f boolean")
+    assert tuple(filters.bar_statistics(df, F.col("s"), F.col("c"), F.col("f")).first()) == (3, 2, 1, 1)
+
+
+def test_reports_and_deltas(spark, tmp_path):
+    import json
+
+    counts = spark.createDataFrame([(10, 6, 3, 2)], "total long, passed long, approved long, uploaded long")
+    rejected = spark.createDataFrame([("resolution", 3), ("duplicate", 2)], "bucket string, n long")
+    sources = spark.createDataFrame([("a", 4), ("b", 6)], "source string, n long")
+    out = json.loads(manifest.statistics_json(counts, rejected, sources, "2024-01-01").first().value)
+    assert out["rejected_total"] == 7 and out["rejection_breakdown"] == {"resolution": 3, "duplicate": 2, "unaccounted": 2} and out["by_source"] == {"a": 4, "b": 6}
+    entries = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "id string, ts long")
+    assert [r.id for r in manifest.newest_first(entries).collect()] == ["b", "c", "a"]
+    assert [r.id for r in manifest.delta(entries, entries.where("ts = 3")).collect()] == ["a"]
+    names = spark.createDataFrame([("2024_01_01.json.gz",), ("2024_01_01-2.json.gz",)], "name string")
+    assert manifest.dated_name("2024_01_01", names) == "2024_01_01-3.json.gz" and manifest.dated_name("2024_01_02", names) == "2024_01_02.json.gz"
+    path = manifest.write_dated(entries.select(F.struct("id").alias("e")), "e", str(tmp_path), "2024_01_02", names)
+    assert path.endswith("2024_01_02.json.gz") and manifest.read_entries(spark, path, "id string").count() == 3
+    errors = {"x": checks.first_errors(entries.where("ts = 3"), "id", 1), "y": checks.first_errors(entries.limit(0), "id")}
+    report = checks.validation(errors)
+    assert {r.check_name: (r.passed, r.n_errors, r.detail, r.all_passed) for r in report.collect()} == {"x": (False, 2, '["b"]', False), "y": (True, 0, "[]", False)}
+    assert [r.check_name for r in checks.validation(errors, frozenset(["x"]), quick=True).collect()] == ["y"]
+    assert json.loads(checks.report_json(report, "d").first().value)["overall_passed"] is False
+    assert [r.id for r in checks.bad_entries(spark.createDataFrame([("a", "0fA"), ("b", "xyz"), ("c", None)], "id string, h string"), "id", "h").collect()] == ["b", "c"]
+
+
+def test_sources_of_a_configuration(spark, tmp_path):
+    lists = {"forum": ["earth", {"name": "city", "limit": 5, "min_score": 9}], "search": [{"query": "lake"}]}
+    assert [tuple(r) for r in records.source_table(spark, lists).collect()] == [("forum", "earth", 100, 50, 0), ("forum", "city", 5, 9, 1), ("search", "lake", 100, 50, 0)]
+    first = spark.createDataFrame([("a", 0, "1"), ("d", 3, "4")], "source string, place int, id string")
+    feed = spark.createDataFrame([("a", 0, "f1"), ("b", 1, "f2"), ("d", 3, "f4")], "source string, place int, id string")
+    assert sorted(r.id for r in records.with_fallback(first, feed, "source").collect()) == ["1", "f2", "f4"]
+    assert [r.id for r in records.with_fallback(first, feed.where("source in ('a', 'd')"), "source").orderBy("id").collect()] == ["1", "4"]
+    (tmp_path / "c.yaml").write_text("filters:\n  min_width: 100  # pixels\n  names: [a, 'b']\nsources:\n  forum:\n    - earth\n    - city\n  on: true\n")
+    found = config.read_settings(str(tmp_path / "c.yaml"))
+    assert found == {"filters": {"min_width": 100, "names": ["a", "b"]}, "sources": {"forum": ["earth", "city"], "on": True}}
+    assert config.missing_settings(found, {"filters": ("min_width", "max_width"), "scores": ()}) == ["no filters.max_width", "no section scores"]
+    assert one(spark, text.collection_name(F.lit("https://h.org/dark-city_scapes/p2?x=1"))) == "Dark City Scapes"
+    assert one(spark, text.post_image_url(F.lit("https://x/y"), F.lit(False), F.expr("array(struct('a' as status, 'x' as u))"), F.struct(F.lit("https://p/b.gif").alias("url"), F.lit(4000).alias("width"), F.lit(3000).alias("height")))) is None
+
+
+def test_first_links_and_quotes(spark):
+    page = '<p class="o\'ad"><a href="/1">x</a></p><a href="/2">y</a><a href="/2">z</a><a href="/1">w</a>'
+    found = html.dom_links(spark.createDataFrame([(1, page)], "page_id int, html string"), "o'ad")
+    assert [(r.href, r.position) for r in html.first_of_page(found).orderBy("position").collect()] == [("/2", 1), ("/1", 3)]
