@@ -73,7 +73,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination, op10_mixing)}
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op10_mixing aims at, a row for each source: the part of it that SQL can express."""
+    from pyspark.sql import functions as F
+
+    from gleanery.llm.common import n_words
+    from gleanery.llm.mixing import source_targets
+
+    sizes = read(spark, sf_dir, "documents").select("source", n_words(F.col("text")).alias("size"))
+    return source_targets(sizes).select("source", "source_size", F.round("target", 4).alias("target"))
+
+
+def token_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes that op5_token_count reports: the part of it that SQL can express."""
+    return op5_token_count(spark, sf_dir).select("doc_id", "n_bytes")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_pii, op3_simhash, op4_line_dedup, op5_token_count, op6_sharding, op7_quality, op8_token_output, op9_decontamination, op10_mixing, mixing_targets, token_bytes)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
@@ -95,4 +111,16 @@ ORACLES = {
         SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
             row_number() OVER (PARTITION BY shard ORDER BY ('0x' || md5(key || ':' || size || ':' || text_crc32)[1:13])::BIGINT, doc_id, size, text_crc32) - 1 AS slot
         FROM e JOIN placed USING (key)""",
+    # Targets: the level at which weights fill up to 3 times each source's size, found among the sources' own levels.
+    "mixing_targets": r"""
+        WITH d AS (SELECT source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight FROM s),
+        c AS (SELECT DISTINCT 3.0 * source_size / weight AS edge FROM w),
+        f AS (SELECT edge, (SELECT sum(least(weight * edge, 3.0 * source_size)) FROM w) AS filled FROM c),
+        t AS (SELECT (SELECT sum(source_size) FROM w)::DOUBLE AS total),
+        low AS (SELECT coalesce(max(edge), 0.0) AS edge FROM f, t WHERE filled <= total),
+        level AS (SELECT (total - (SELECT coalesce(sum(3.0 * source_size), 0) FROM w WHERE 3.0 * source_size / weight <= low.edge)) / nullif((SELECT sum(weight) FROM w WHERE 3.0 * source_size / weight > low.edge), 0) AS l FROM t, low)
+        SELECT source, source_size, round(CASE WHEN l IS NULL OR 3.0 * source_size <= weight * l THEN 3.0 * source_size ELSE weight * l END::DOUBLE, 4) AS target FROM w, level""",
+    "token_bytes": "SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents",
 }

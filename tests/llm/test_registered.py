@@ -34,3 +34,10 @@ def test_findings(spark, duck, name):
     rows = QUERIES[name](spark, SF).collect()
     texts = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
     assert rows and all(0 <= r.start < r.end <= len(texts[r.doc_id]) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["mixing_targets", "token_bytes"])
+def test_parts_that_sql_can_express(spark, duck, name):
+    df = QUERIES[name](spark, SF)
+    want = duck.sql(ORACLES[name])
+    assert table_of(df.columns, [tuple(r) for r in df.collect()]) == table_of(want.columns, want.fetchall())
