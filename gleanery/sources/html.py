@@ -31,12 +31,22 @@ def ranked_links(pages: DataFrame, patterns: list[str], page_id: str = "page_id"
     return first.select(page_id, "link", "first.method", "first.position")
 
 
+def _numbered(found: DataFrame, base: str, page_id: str) -> DataFrame:
+    """Records of links (position, link) to numbered-slug images."""
+    out = found.withColumn("slug", numbered_slug(F.element_at(F.split("link", "/"), -1)))
+    own = F.substring(F.md5(F.col("link").cast("binary")), 1, 8)
+    return out.select(page_id, "position", F.concat(F.lit(base), F.col("link")).alias("url"), F.coalesce("slug.id", own).alias("id"), "slug.resolution", F.coalesce(F.nullif("slug.title", F.lit("")), F.lit("Wallpaper")).alias("title"))
+
+
 def download_links(pages: DataFrame, base: str, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Numbered-slug images whose anchor reads Download: page_id, position, url, id, resolution, title."""
-    pattern = r'(?is)<a[^>]*href="(/images/wallpapers/[^"]+)"[^>]*>\s*Download'
-    out = links(pages, pattern, page_id, html).withColumn("slug", numbered_slug(F.element_at(F.split("link", "/"), -1)))
-    own = F.substring(F.md5(F.col("link").cast("binary")), 1, 8)
-    return out.select(page_id, "position", F.concat(F.lit(base), F.col("link")).alias("url"), F.coalesce("slug.id", own).alias("id"), "slug.resolution", "slug.title")
+    return _numbered(links(pages, r'(?is)<a[^>]*href="(/images/wallpapers/[^"]+)"[^>]*>\s*Download', page_id, html), base, page_id)
+
+
+def dom_records(pages: DataFrame, base: str, skip: str = "featured", page_id: str = "page_id", html: str = "html") -> DataFrame:
+    """As download_links, by the page's tree: image files outside of elements of a class, each once."""
+    files = dom_links(pages, skip, page_id, html).where(F.col("href").rlike(r"(?i)^/images/wallpapers/.*\.(jpg|jpeg|png|webp)$"))
+    return _numbered(first_of_page(files, page_id).withColumnRenamed("href", "link"), base, page_id)
 
 
 def canonical_url(url: Column) -> Column:

@@ -32,13 +32,36 @@ def forum_posts(listing: DataFrame, min_score: int) -> DataFrame:
 
 
 def feed_entries(feed: DataFrame, xml: str = "xml") -> DataFrame:
-    """Entries of Atom feeds: id, title, link, author, image_url."""
+    """Entries of Atom feeds that have an image: id (the last part), title, link, author, image_url. The
+    image is the first link to a file with an image's extension, else the first such source, else a
+    link to the known host. Feeds know no scores."""
     entry = feed.select(F.explode(F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<entry>(.*?)</entry>"), F.lit(1))).alias("e"))
 
-    def part(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract("e", pattern, 1), F.lit(""))
+    def part(pattern: str, of: str = "e") -> Column:
+        return F.nullif(F.regexp_extract(of, pattern, 1), F.lit(""))
 
-    return entry.select(part(r"(?s)<id>(.*?)</id>").alias("id"), part(r"(?s)<title>(.*?)</title>").alias("title"), part(r'<link[^>]*href="([^"]*)"').alias("link"), part(r"(?s)<name>(.*?)</name>").alias("author"), part(r"(https?://i\.redd\.it/[\w.]+)").alias("image_url"))
+    content = part(r"(?s)<content[^>]*>(.*?)</content>")
+    for sign, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        content = F.replace(content, F.lit(sign), F.lit(plain))
+    end = r'="(https://[^"]+\.(?:jpg|jpeg|png|webp|gif))"'
+    image = F.coalesce(part(rf"(?i)href{end}", "content"), part(rf"(?i)src{end}", "content"), part(r'href="(https://i\.redd\.it/[^"]+)"', "content"))
+    rows = entry.withColumn("content", content).select(
+        F.element_at(F.split(part(r"(?s)<id>(.*?)</id>"), "/"), -1).alias("id"), F.coalesce(part(r"(?s)<title>(.*?)</title>"), F.lit("Untitled")).alias("title"), F.coalesce(part(r'<link[^>]*href="([^"]*)"'), F.lit("")).alias("link"),
+        F.coalesce(F.replace(part(r"(?s)<name>(.*?)</name>"), F.lit("/u/"), F.lit("")), F.lit("[unknown]")).alias("author"), image.alias("image_url"),
+    )
+    return rows.where("image_url is not null")
+
+
+def new_photos(found: DataFrame, seen: DataFrame, cap: int, order: list[str]) -> DataFrame:
+    """Search results that the index (id) hasn't seen, each once, the first `cap` of them by `order`."""
+    return found.dropDuplicates(["id"]).join(seen.select("id").distinct(), "id", "left_anti").orderBy(*order).limit(cap)
+
+
+def until_empty(found: DataFrame, pages: DataFrame, source: str = "source", page: str = "page") -> DataFrame:
+    """Records of paged sources up to the first page that has none: paging stops there."""
+    bare = pages.select(source, page).join(found.select(source, page).distinct(), [source, page], "left_anti")
+    ends = bare.groupBy(source).agg(F.min(page).alias("gleanery__end"))
+    return found.join(ends, source, "left").where(F.col("gleanery__end").isNull() | (F.col(page) < F.col("gleanery__end"))).select(*found.columns)
 
 
 def photos_a(search: DataFrame) -> DataFrame:

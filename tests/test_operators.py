@@ -245,9 +245,9 @@ def test_listing_feed_and_searches(spark):
     listing = {"data": {"children": [{"data": post}, {"data": post | {"id": "p2", "score": 3}}, {"data": post | {"id": "p3", "over_18": True}}, {"data": post | {"id": "p4", "url": "https://x/no"}}]}}
     df = spark.createDataFrame([(json.dumps(listing),)], "j string").select(F.from_json("j", records.LISTING).alias("r")).select("r.*")
     assert [r.id for r in records.forum_posts(df, 50).collect()] == ["p1"]
-    feed = spark.createDataFrame([("<feed><entry><id>t3_1</id><title>T</title><link href='x'/><link rel=\"a\" href=\"https://h/p\"/><author><name>/u/a</name></author><content>https://i.redd.it/z.jpg</content></entry></feed>",)], "xml string")
-    row = records.feed_entries(feed).first()
-    assert (row.id, row.link, row.author, row.image_url) == ("t3_1", "https://h/p", "/u/a", "https://i.redd.it/z.jpg")
+    feed = spark.createDataFrame([("<feed><entry><id>t3_1</id><title>T</title><link href='x'/><link rel=\"a\" href=\"https://h/p\"/><author><name>/u/a</name></author><content type='html'>&lt;a href=&quot;https://i.redd.it/z&quot;&gt;&lt;img src=&quot;https://h/a.PNG&quot;&gt;</content></entry><entry><id>t/x</id><content>&lt;a href=&quot;https://i.redd.it/w&quot;&gt;</content></entry><entry><id>n</id><content>none</content></entry></feed>",)], "xml string")
+    rows = [tuple(r) for r in records.feed_entries(feed).collect()]
+    assert rows == [("t3_1", "T", "https://h/p", "a", "https://h/a.PNG"), ("x", "Untitled", "", "[unknown]", "https://i.redd.it/w")]
     a = spark.createDataFrame([(json.dumps({"results": [{"id": "1", "urls": {"raw": "r"}}, {"id": "1"}]}),)], "j string").select(F.from_json("j", records.PHOTO_SEARCH_A).alias("r")).select("r.*")
     assert [(r.id, r.width) for r in records.photos_a(a).collect()] == [("1", 0)]
     b = spark.createDataFrame([(json.dumps({"photos": [{"id": "1", "src": {"large2x": "l"}}]}),)], "j string").select(F.from_json("j", records.PHOTO_SEARCH_B).alias("r")).select("r.*")
@@ -394,3 +394,14 @@ def test_first_links_and_quotes(spark):
     page = '<p class="o\'ad"><a href="/1">x</a></p><a href="/2">y</a><a href="/2">z</a><a href="/1">w</a>'
     found = html.dom_links(spark.createDataFrame([(1, page)], "page_id int, html string"), "o'ad")
     assert [(r.href, r.position) for r in html.first_of_page(found).orderBy("position").collect()] == [("/2", 1), ("/1", 3)]
+
+
+def test_scraped_records_and_paging(spark):
+    page = '<div class="Featured"><a href="/images/wallpapers/in-1.png">Download</a></div><a href="/images/wallpapers/black-cat-3840x2160-27.PNG">D</a><a href="/images/wallpapers/black-cat-3840x2160-27.PNG">D</a><a href="/images/wallpapers/9.jpg">D</a><a href="/x.png">D</a>'
+    out = html.dom_records(spark.createDataFrame([(1, page)], "page_id int, html string"), "https://h").orderBy("position").collect()
+    assert [(r.url, r.id, r.resolution, r.title) for r in out][0] == ("https://h/images/wallpapers/black-cat-3840x2160-27.PNG", "27", "3840x2160", "Black Cat") and len(out) == 2
+    pages = spark.createDataFrame([("a", k) for k in range(1, 6)] + [("b", 1)], "source string, page int")
+    found = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 4, "z"), ("b", 1, "w")], "source string, page int, id string")
+    assert sorted(r.id for r in records.until_empty(found, pages).collect()) == ["w", "x", "y"]
+    photos = spark.createDataFrame([("1", 5), ("1", 5), ("2", 9), ("3", 1), ("4", 2)], "id string, place int")
+    assert [r.id for r in records.new_photos(photos, spark.createDataFrame([("3",)], "id string"), 2, ["place"]).collect()] == ["4", "1"]
