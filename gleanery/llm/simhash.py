@@ -13,9 +13,8 @@ Keys: for one 64-bit plane and a radius up to 3, sixteen keys of 28 bits that no
 miss (one of four 16-bit blocks is equal, and then one of four 12-bit parts of the rest). For
 wider fingerprints and radii, sampled bit keys whose length follows the logarithm of the number of
 nodes. Radius and number of keys together reach a stated recall at the similarity, whatever the
-length, and the pairs found are verified by the Jaccard similarity of their shingle sets: of pairs so
-near that they are all but sure, a spanning forest of each local group, of the others every pair that
-the forest leaves apart. A key with many nodes is cut into tiles, and pairs of tiles go to tasks of
+length, and the pairs found are verified by the Jaccard similarity of their shingle sets: a spanning
+forest of each local group, and where some of it fails, every pair that is still apart. A key with many nodes is cut into tiles, and pairs of tiles go to tasks of
 their own.
 
 Defined results: null and empty texts, and texts of white space only, have fingerprint zero and
@@ -34,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gleanery.llm.common import heavy_keys, spread_join, stored, text_key, whole_row
 from gleanery.llm.graph import components
@@ -43,9 +42,10 @@ SEED = 42
 TILE = 1024  # fingerprints of a key that meet in one task
 PAIRS = 1 << 21  # pairs looked at together in a task
 BUFFER = 1 << 15  # rows gathered before pairs are made
+REMEMBERED = 1 << 21  # shingle hashes kept while pairs are verified
 N_PIVOTS = 16  # for one plane; fewer for wide fingerprints, whose radius lets pivots discard little
 RADIUS_DEVIATIONS = 2.25  # of the distance at the similarity: its radius lies above the mean by these
-SURE_DEVIATIONS = 4.0  # and the distance at which pairs are all but sure below it by these
+LIKELY_DEVIATIONS = 1.0  # and the distance at which most pairs are that similar below it by these
 
 
 def _mix(h: np.ndarray, salt: int) -> np.ndarray:
@@ -192,16 +192,19 @@ def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, sure: int, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs to be verified: a spanning forest of the pairs within the distance `sure`, nearest
-    first, and all pairs within the radius that it leaves apart."""
-    label = np.arange(len(group))
+def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, table: np.ndarray, node: np.ndarray, likely: int, root: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs to be verified. Without roots, a spanning forest of the pairs within the radius: those
+    within the distance `likely` before others, and of these such with the least nodes, which other keys
+    choose as well. With roots, all pairs within the radius whose roots differ."""
+    label = np.arange(len(group)) if root is None else np.unique(root, return_inverse=True)[1]
     for i, j in _near_batches(fp, group, side, mixed, radius, table):
+        if root is not None:
+            apart = label[i] != label[j]
+            yield i[apart], j[apart]
+            continue
         distance = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1, dtype=np.int16)
-        order = np.argsort(distance, kind="stable")
-        i, j = i[order], j[order]
-        close = int(np.searchsorted(distance[order], sure, side="right"))
-        a, b = i[:close], j[:close]
+        order = np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), np.where(distance <= likely, 0, distance)))
+        a, b = i[order], j[order]
         while True:
             apart = label[a] != label[b]
             if not apart.any():
@@ -213,9 +216,6 @@ def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.n
             pick = np.unique(best[best < len(a)])
             yield a[pick], b[pick]
             label = _union(label, a[pick], b[pick])
-        i, j = i[close:], j[close:]
-        apart = label[i] != label[j]
-        yield i[apart], j[apart]
 
 
 def pivot_distances(nodes: DataFrame, planes: int) -> DataFrame:
@@ -232,11 +232,11 @@ def pivot_distances(nodes: DataFrame, planes: int) -> DataFrame:
     return nodes.mapInArrow(run, StructType([*nodes.schema.fields]).add("pivots", "binary"))
 
 
-def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = None) -> DataFrame:
+def _edges(rows: DataFrame, planes: int, radius: int, likely: int | None = None) -> DataFrame:
     """rows (key, lo, hi, tile, node, fp, pivots), each (key, lo, hi) in one partition and sorted
-    -> (a, b), numbers of nodes.
-
-    With `sure`, pairs to be verified instead of stars."""
+    -> (a, b), numbers of nodes: stars. With `likely`, (key, lo, hi, a, b): pairs to be verified
+    (_candidates; by the column root if there is one)."""
+    rooted = "root" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -262,10 +262,11 @@ def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = No
             fp = _matrix(table.column("fp").take(pa.array(pick)).combine_chunks(), planes)
             node = table.column("node").to_numpy()[pick]
             at = fp, group[pick], table.column("tile").to_numpy()[pick], (columns[1] != columns[2])[pick], radius
-            if sure is not None:
-                for i, j in _candidates(*at, sure, rows_of):
+            if likely is not None:
+                root = table.column("root").to_numpy()[pick] if rooted else None
+                for i, j in _candidates(*at, rows_of, node, likely, root):
                     if len(i):
-                        yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
+                        yield pa.RecordBatch.from_arrays([*[pa.array(c[pick[i]]) for c in columns], pa.array(node[i]), pa.array(node[j])], ["key", "lo", "hi", "a", "b"])
                 return
             label = _linked(*at, rows_of)
             own = np.flatnonzero(label != np.arange(len(label)))
@@ -283,12 +284,11 @@ def _star_edges(rows: DataFrame, planes: int, radius: int, sure: int | None = No
         if held:
             yield from flush(True)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long" if likely is None else "key long, lo int, hi int, a long, b long")
 
 
-def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.ndarray], np.ndarray], sure: int | None = None) -> DataFrame:
-    """Edges (a, b) that join up all nodes (node, fp, pivots) within the radius that share a key;
-    with `sure`, the pairs to be verified (_candidates)."""
+def keyed(nodes: DataFrame, planes: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """nodes (fp, ...) once for each of their keys, with `key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,18 +297,55 @@ def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.nd
                 if part.num_rows:
                     k = keys(_matrix(part.column("fp"), planes))
                     again = pa.array(np.repeat(np.arange(part.num_rows), k.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), *[part.column(c).take(again) for c in ("node", "fp", "pivots")]], ["key", "node", "fp", "pivots"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), *[c.take(again) for c in part.columns]], ["key", *part.schema.names])
+
+    return nodes.mapInArrow(run, StructType([StructField("key", LongType()), *nodes.schema.fields]))
+
 
-    # The keys alone are counted first; written, so that the number of those with more nodes than a tile is known to the planner.
-    only = nodes.select("node", "fp", F.lit(b"").alias("pivots")).mapInArrow(run, "key long, node long, fp binary, pivots binary").select("key")
-    heavy = stored(only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "heavy-keys")
-    keyed = nodes.select("node", "fp", "pivots").mapInArrow(run, "key long, node long, fp binary, pivots binary")
-    rows = keyed.join(heavy, "key", "left").withColumn("tiles", F.ceil(F.coalesce("n", F.lit(1)) / TILE).cast("int"))
+def crowded(nodes: DataFrame, planes: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(key, n) of the keys with more nodes than a tile; written, so that the planner knows their number."""
+    only = keyed(nodes.select("fp"), planes, keys).select("key")
+    return stored(only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "heavy-keys")
+
+
+def tiled(rows: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Keyed rows with lo and hi, the pair of tiles in which they meet others, and their own tile."""
+    columns = [c for c in rows.columns if c != "key"]
+    rows = rows.join(heavy, "key", "left").withColumn("tiles", F.ceil(F.coalesce("n", F.lit(1)) / TILE).cast("int"))
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    rows = rows.select("key", "tile", "node", "fp", "pivots", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
-    rows = rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", "node", "fp", "pivots")
-    rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return _star_edges(rows, planes, radius, sure)
+    rows = rows.select("key", "tile", *columns, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
+    return rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", *columns)
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def link_edges(nodes: DataFrame, planes: int, radius: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Edges (a, b) that join up all nodes (node, fp, pivots) within the radius that share a key."""
+    rows = tiled(keyed(nodes.select("node", "fp", "pivots"), planes, keys), crowded(nodes, planes, keys))
+    return _edges(_together(rows), planes, radius)
+
+
+def verified_edges(docs: DataFrame, nodes: DataFrame, planes: int, radius: int, likely: int, keys: Callable[[np.ndarray], np.ndarray], words: int, similarity: float, text_col: str) -> DataFrame:
+    """Edges (a, b) that join up all nodes within the radius that share a key and whose shingle sets
+    have at least this Jaccard similarity.
+
+    First a spanning forest of each local group is verified. Where all of it holds, the group is one
+    class, and no other pair of it matters. In the groups where some doesn't, all pairs are verified
+    that lie in different classes and haven't been yet."""
+    heavy = crowded(nodes, planes, keys)
+    plain = nodes.select("node", "fp", "pivots")
+    first = stored(_edges(_together(tiled(keyed(plain, planes, keys), heavy)), planes, radius, likely).withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")}), "forest-pairs")
+    good = stored(similar_edges(docs, nodes, first, words, similarity, text_col), "similar-pairs")
+    open_ = stored(first.join(good, ["a", "b"], "left_anti").select("key", "lo", "hi").distinct(), "open-groups")
+    if not open_.count():
+        return good
+    rooted = plain.join(components(good), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = tiled(keyed(stored(rooted.select("node", "fp", "pivots", "root"), "rooted-nodes"), planes, keys), heavy).join(open_, ["key", "lo", "hi"], "left_semi")
+    second = _edges(_together(rows), planes, radius, likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = second.join(first.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    return good.unionByName(similar_edges(docs, nodes, second, words, similarity, text_col))
 
 
 def _flip(similarity: float) -> float:
@@ -356,11 +393,32 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: in
     sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}  # of nodes, as pairs of a node come one after another
+        held = 0
+
+        def of(node: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
+            found = sets.get(node)
+            if found is None:
+                found = np.unique(shingles(text.as_py(), words))
+                if held + len(found) > REMEMBERED:
+                    sets.clear()
+                    held = 0
+                sets[node] = found
+                held += len(found)
+            return found
+
         for batch in batches:
             like = []
-            for a, b in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
-                x, y = (np.unique(shingles(t.as_py(), words)) for t in (a, b))
-                both = len(np.intersect1d(x, y, assume_unique=True))
+            ends = [batch.column(c).to_pylist() for c in ("a", "b")]
+            for k, (a, b) in enumerate(zip(*ends, strict=True)):
+                x, y = of(a, batch.column("text_a")[k]), of(b, batch.column("text_b")[k])
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                if not len(small) or len(small) < similarity * len(large) - 1e-9:  # sets of such sizes can't be that alike
+                    like.append(False)
+                    continue
+                at = np.searchsorted(large, small)
+                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
                 like.append(both > 0 and both + 1e-9 >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
 
@@ -382,14 +440,14 @@ def _classes(docs: DataFrame, words: int, radius: int, planes: int, similarity:
         edges = link_edges(nodes, planes, radius, block_keys)
     else:
         radius = similarity_radius(similarity, planes * 64)
-        sure = max(0, similarity_radius(similarity, planes * 64, -SURE_DEVIATIONS))
+        likely = similarity_radius(similarity, planes * 64, -LIKELY_DEVIATIONS)
         bits = min(60, max(8, math.ceil(math.log2(nodes.count() + 1)) - 1))
         tables = tables_for(similarity, planes, radius, bits, recall)
 
         def keys(fp: np.ndarray) -> np.ndarray:
             return sampled_keys(fp, tables, bits)
 
-        edges = similar_edges(docs, nodes, link_edges(nodes, planes, radius, keys, sure), words, similarity, text_col)
+        edges = verified_edges(docs, nodes, planes, radius, likely, keys, words, similarity, text_col)
     rooted = nodes.join(components(edges), "node", "left").select("fp", "first", "n", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("first"))
     return prints, stored(rooted.drop("first").join(least, "root").select("fp", "n", "first"), "classes")
