@@ -136,7 +136,7 @@ def _tags_sql(vocabulary: dict[str, str]) -> str:
     return f"""WITH {_vocabulary_sql(vocabulary)}, a AS (SELECT *, score * (CASE label {penalty} ELSE 1.0 END)::DOUBLE AS adj FROM s),
     b AS (SELECT *, avg(adj) OVER w + 0.5 * stddev_pop(adj) OVER w AS cut FROM a WINDOW w AS (PARTITION BY vec_id)), t AS (SELECT *, max(adj) OVER (PARTITION BY vec_id) AS top FROM b WHERE adj >= cut),
     r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY adj DESC, k) AS rank FROM t WHERE adj >= 0.75 * top)
-    SELECT vec_id, string_agg(label, ',' ORDER BY rank) AS tags FROM r WHERE rank <= 3 GROUP BY vec_id"""
+    SELECT e.vec_id, coalesce(string_agg(label, ',' ORDER BY rank), '') AS tags FROM e LEFT JOIN r ON r.vec_id = e.vec_id AND rank <= 3 GROUP BY e.vec_id"""
 
 
 @query(_tags_sql(vocabularies.MOODS))
