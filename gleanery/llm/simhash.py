@@ -192,15 +192,22 @@ def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, table: np.ndarray, node: np.ndarray, likely: int, root: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(fp: np.ndarray, group: np.ndarray, side: np.ndarray, mixed: np.ndarray, radius: int, table: np.ndarray, node: np.ndarray, likely: int, root: np.ndarray | None, own: np.ndarray, keys: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs to be verified. Without roots, a spanning forest of the pairs within the radius: those
     within the distance `likely` before others, and of these such with the least nodes, which other keys
-    choose as well. With roots, all pairs within the radius whose roots differ."""
+    choose as well. With roots, all pairs within the radius whose roots differ, each by the first key
+    that both have: a group in which such a pair is apart is never settled, so that one is looked at."""
+    every = None if root is None else keys(fp).view(np.int64)
     label = np.arange(len(group)) if root is None else np.unique(root, return_inverse=True)[1]
     for i, j in _near_batches(fp, group, side, mixed, radius, table):
         if root is not None:
             apart = label[i] != label[j]
-            yield i[apart], j[apart]
+            i, j = i[apart], j[apart]
+            for low in range(0, len(i), 1 << 14):
+                a, b = i[low : low + (1 << 14)], j[low : low + (1 << 14)]
+                first = (every[a] == every[b]).argmax(axis=1)
+                here = every[a, first] == own[a]
+                yield a[here], b[here]
             continue
         distance = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1, dtype=np.int16)
         order = np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), np.where(distance <= likely, 0, distance)))
@@ -232,7 +239,7 @@ def pivot_distances(nodes: DataFrame, planes: int) -> DataFrame:
     return nodes.mapInArrow(run, StructType([*nodes.schema.fields]).add("pivots", "binary"))
 
 
-def _edges(rows: DataFrame, planes: int, radius: int, likely: int | None = None) -> DataFrame:
+def _edges(rows: DataFrame, planes: int, radius: int, likely: int | None = None, keys: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """rows (key, lo, hi, tile, node, fp, pivots), each (key, lo, hi) in one partition and sorted
     -> (a, b), numbers of nodes: stars. With `likely`, (key, lo, hi, a, b): pairs to be verified
     (_candidates; by the column root if there is one)."""
@@ -264,7 +271,7 @@ def _edges(rows: DataFrame, planes: int, radius: int, likely: int | None = None)
             at = fp, group[pick], table.column("tile").to_numpy()[pick], (columns[1] != columns[2])[pick], radius
             if likely is not None:
                 root = table.column("root").to_numpy()[pick] if rooted else None
-                for i, j in _candidates(*at, rows_of, node, likely, root):
+                for i, j in _candidates(*at, rows_of, node, likely, root, columns[0][pick], keys):
                     if len(i):
                         yield pa.RecordBatch.from_arrays([*[pa.array(c[pick[i]]) for c in columns], pa.array(node[i]), pa.array(node[j])], ["key", "lo", "hi", "a", "b"])
                 return
@@ -343,7 +350,7 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, planes: int, radius: int,
         return good
     rooted = plain.join(components(good), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = tiled(keyed(stored(rooted.select("node", "fp", "pivots", "root"), "rooted-nodes"), planes, keys), heavy).join(open_, ["key", "lo", "hi"], "left_semi")
-    second = _edges(_together(rows), planes, radius, likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = _edges(_together(rows), planes, radius, likely, keys).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = second.join(first.select("a", "b").distinct(), ["a", "b"], "left_anti")
     return good.unionByName(similar_edges(docs, nodes, second, words, similarity, text_col))
 
