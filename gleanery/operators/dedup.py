@@ -6,12 +6,12 @@ phash_index(phash, id, seq). Of several entries for a key, the last by seq holds
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gleanery.operators.hamming import hamming, hamming_join  # noqa: F401
+
 
 def normal_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
@@ -95,42 +95,6 @@ def sign_hash(vector: Column, dims: int = 64) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 
-def hamming(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)).cast("int")
-
-
-def _key_masks(radius: int) -> list[int]:
-    """Masks of the bits of each key. The bits are cut to radius + k blocks, of which two hashes
-    within the radius agree in at least k; every k of them make a key. Small radii get longer keys."""
-    blocks, chosen = (radius + 2, 2) if radius <= 12 else (radius + 1, 1)
-    edges = [round(k * 64 / blocks) for k in range(blocks + 1)]
-    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:], strict=False)]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    return [signed(sum(some)) for some in combinations(masks, chosen)]
-
-
-def hamming_keys(phash: Column, radius: int) -> Column:
-    """Keys of which two hashes within the radius share at least one."""
-    return F.array(*[F.xxhash64(F.lit(n), phash.bitwiseAND(F.lit(m).cast("long"))) for n, m in enumerate(_key_masks(radius))])
-
-
-def hamming_join(left: DataFrame, right: DataFrame, radius: int) -> DataFrame:
-    """left (id_a, hash_a), right (id_b, hash_b) -> pairs within the radius, with their distance.
-
-    An equi-join on block keys, then the distance; a pair that shares several keys comes once,
-    by the first key that it shares, so no distinct over pairs is needed.
-    """
-    # Rows are few bytes and pairs are the work: they are spread before the keys are made.
-    a = left.repartition("id_a").select("id_a", "hash_a", F.posexplode(hamming_keys(F.col("hash_a"), radius)).alias("k", "key"))
-    b = right.select("id_b", "hash_b", F.explode(hamming_keys(F.col("hash_b"), radius)).alias("key"))
-    differ = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
-    first = F.when(F.lit(False), F.lit(0))
-    for n, m in enumerate(_key_masks(radius)):
-        first = first.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(n))
-    near = a.join(b, (a["key"] == b["key"]) & (F.bit_count(differ) <= radius)).where(F.col("k") == first)
-    return near.select("id_a", "id_b", "hash_a", "hash_b", hamming(F.col("hash_a"), F.col("hash_b")).alias("distance"))
-
-
 def first_match(queries: DataFrame, index: DataFrame, radius: int) -> DataFrame:
     """For each query (id_a, hash_a) the entry of the index (id_b, hash_b, seq) within the radius
     that was inserted first; not the nearest."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions import image, pixels, vocabularies
-from gleanery.operators import checks, dedup, scoring, vectors
+from gleanery.operators import checks, dedup, hamming, scoring, vectors
 from gleanery.plans.registry import query, table
 
 RADIUS = 10
@@ -40,10 +40,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.with_scores(items.select("vec_id", "embedding"), vectors.centroids(items, "label", "embedding").withColumn("label", F.col("label").cast("string")), "embedding")
 
 
-def _pairs(h: DataFrame) -> DataFrame:
-    a = h.select(F.col("vec_id").alias("id_a"), F.col("p").alias("hash_a"))
-    b = h.select(F.col("vec_id").alias("id_b"), F.col("p").alias("hash_b"))
-    return dedup.hamming_join(a, b, RADIUS).where("id_a < id_b")
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashes(spark, sf_dir).select(F.col("vec_id").alias("id"), F.col("p").alias("hash"))
 
 
 PAIRS_SQL = f"WITH {HASHES} SELECT a.vec_id AS id_a, b.vec_id AS id_b, bit_count(xor(a.p, b.p))::INTEGER AS distance FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.p, b.p)) <= {RADIUS}"
@@ -51,13 +49,13 @@ PAIRS_SQL = f"WITH {HASHES} SELECT a.vec_id AS id_a, b.vec_id AS id_b, bit_count
 
 @query(PAIRS_SQL)
 def hamming_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(hashes(spark, sf_dir)).select("id_a", "id_b", "distance")
+    return hamming.hamming_self_join(_items(spark, sf_dir), RADIUS)
 
 
 @query(f"WITH {HASHES}, x AS (SELECT a.vec_id AS id, bit_count(xor(a.p, b.p)) AS distance FROM h a JOIN h b ON a.vec_id <> b.vec_id WHERE bit_count(xor(a.p, b.p)) <= {RADIUS}) SELECT id, count(*) AS n_near, min(distance)::INTEGER AS nearest FROM x GROUP BY id")
 def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each vector with near ones: how many, and the least distance."""
-    pairs = _pairs(hashes(spark, sf_dir))
+    pairs = hamming.hamming_self_join(_items(spark, sf_dir), RADIUS)
     ends = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"), "distance")
     return ends.groupBy("id").agg(F.count("*").alias("n_near"), F.min("distance").alias("nearest"))
 
