@@ -173,3 +173,21 @@ def hamming_self_join(items: DataFrame, radius: int) -> DataFrame:
     # Two hashes come in one order, so that either id may be the less; a hash with itself gives both orders.
     pairs = pairs.where((F.col("id_a") < F.col("id_b")) | ((F.col("id_a") > F.col("id_b")) & (F.col("hash_a") != F.col("hash_b"))))
     return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "distance")
+
+
+def neighbours(items: DataFrame, radius: int) -> DataFrame:
+    """items (id, hash) -> of each id with others within the radius: n_near, the pairs of its rows and
+    theirs, and nearest, the least distance. Equal hashes are counted, not expanded."""
+    rows = items.where("id is not null and hash is not null")
+    groups = rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    near = near_hashes(groups, None, radius)
+    end = lambda x, y: F.struct(F.col(x).alias("hash"), F.col(y).alias("other"), "distance")
+    ends = near.select(F.inline(F.array(end("hash_a", "hash_b"), end("hash_b", "hash_a")))).unionByName(groups.select("hash", F.col("hash").alias("other"), F.lit(0).alias("distance")))
+    levels = ends.join(groups.withColumnRenamed("hash", "other").hint("merge"), "other").groupBy("hash", "distance").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    around = levels.groupBy("hash").agg(F.sum("n").alias("n"), F.collect_list(F.struct("distance", "low", "high")).alias("levels"))  # a level a distance, at most
+    of_others = F.filter("levels", lambda x: (x["low"] != F.col("id")) | (x["high"] != F.col("id")))
+    found = rows.join(around.hint("merge"), "hash").select("id", "hash", "n", F.array_min(F.transform(of_others, lambda x: x["distance"])).alias("nearest"))
+    ids = found.groupBy("id").agg(F.sum("n").alias("n"), F.min("nearest").alias("nearest"), F.collect_list("hash").alias("own"))
+    # An id's own rows are no neighbours of each other.
+    same = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + F.size(F.filter("own", lambda y: hamming(x, y) <= radius)))
+    return ids.select("id", (F.col("n") - same).alias("n_near"), "nearest").where("n_near > 0")

@@ -55,9 +55,7 @@ def hamming_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {HASHES}, x AS (SELECT a.vec_id AS id, bit_count(xor(a.p, b.p)) AS distance FROM h a JOIN h b ON a.vec_id <> b.vec_id WHERE bit_count(xor(a.p, b.p)) <= {RADIUS}) SELECT id, count(*) AS n_near, min(distance)::INTEGER AS nearest FROM x GROUP BY id")
 def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each vector with near ones: how many, and the least distance."""
-    pairs = hamming.hamming_self_join(_items(spark, sf_dir), RADIUS)
-    ends = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"), "distance")
-    return ends.groupBy("id").agg(F.count("*").alias("n_near"), F.min("distance").alias("nearest"))
+    return hamming.neighbours(_items(spark, sf_dir), RADIUS)
 
 
 @query(f"""WITH {HASHES} SELECT a.vec_id AS id_a, arg_min(b.vec_id, b.vec_id) AS match_id, arg_min(bit_count(xor(a.p, b.p)), b.vec_id)::INTEGER AS distance, count(*) AS n_within

@@ -1,5 +1,7 @@
 """Hamming search against nested loops."""
 
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from conftest import SF
@@ -35,7 +37,7 @@ def test_keys_are_used_where_they_pay():
     assert hamming._agreement(np.arange(20_000, dtype=np.uint64), np.arange(20_000, dtype=np.uint64), 10) == 0  # all share most keys
 
 
-def test_pairs_with_copies_and_repeated_ids(spark):
+def test_pairs_and_neighbours_with_copies_and_repeated_ids(spark):
     hashes = cluster(2, 8, 12)
     rows = [(k // 2 if k % 7 == 0 else k, h) for k, h in enumerate(hashes + hashes[:20] + [hashes[0]] * 30)] + [(None, hashes[1]), (5000, None)]
     df = spark.createDataFrame(rows, "id long, hash long").repartition(3)
@@ -43,9 +45,13 @@ def test_pairs_with_copies_and_repeated_ids(spark):
     near = [(a, b, d) for a, x in whole for b, y in whole if a != b and (d := distance(x, y)) <= 10]
     got = sorted(tuple(r) for r in hamming.hamming_self_join(df, 10).collect())
     assert got == sorted(p for p in near if p[0] < p[1])
+    want = defaultdict(list)
+    for a, _, d in near:
+        want[a].append(d)
+    assert {r.id: (r.n_near, r.nearest) for r in hamming.neighbours(df, 10).collect()} == {a: (len(d), min(d)) for a, d in want.items()}
 
 
-@pytest.mark.parametrize("name", ["hamming_multi_index"])
+@pytest.mark.parametrize("name", ["hamming_multi_index", "hamming_pairs"])
 def test_no_keys_or_pairs_are_sent_to_the_driver(spark, name):
     plan = getattr(vector_queries, name)(spark, SF)._jdf.queryExecution().toString()
     assert "Broadcast" not in plan
