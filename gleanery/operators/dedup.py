@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanery.operators.hamming import hamming, hamming_join  # noqa: F401
+from gleanery.operators.hamming import first_match, hamming, hamming_join  # noqa: F401
 
 
 def normal_text(text: Column) -> Column:
@@ -95,13 +95,6 @@ def sign_hash(vector: Column, dims: int = 64) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 
-def first_match(queries: DataFrame, index: DataFrame, radius: int) -> DataFrame:
-    """For each query (id_a, hash_a) the entry of the index (id_b, hash_b, seq) within the radius
-    that was inserted first; not the nearest."""
-    pairs = hamming_join(queries, index.select("id_b", "hash_b"), radius).join(index.select("id_b", "seq"), "id_b")
-    return pairs.groupBy("id_a").agg(F.min_by("id_b", "seq").alias("match_id"), F.min_by("distance", "seq").alias("distance"), F.count("*").alias("n_within"))
-
-
 def collisions(df: DataFrame, key: Column) -> DataFrame:
     """hash, n of the keys of more than one row."""
     return df.groupBy(key.alias("hash")).agg(F.count("*").alias("n")).where(F.col("n") > 1)

@@ -191,3 +191,15 @@ def neighbours(items: DataFrame, radius: int) -> DataFrame:
     # An id's own rows are no neighbours of each other.
     same = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + F.size(F.filter("own", lambda y: hamming(x, y) <= radius)))
     return ids.select("id", (F.col("n") - same).alias("n_near"), "nearest").where("n_near > 0")
+
+
+def first_match(queries: DataFrame, index: DataFrame, radius: int) -> DataFrame:
+    """For each query (id_a, hash_a) the entry of the index (id_b, hash_b, seq) within the radius
+    that was inserted first; not the nearest. Equal hashes of the index are counted, not expanded."""
+    order = F.when(F.col("seq").isNotNull(), F.struct("seq", "id_b"))
+    entries = index.where("id_b is not null").groupBy("hash_b").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    near = near_hashes(queries.select(F.col("hash_a").alias("hash")).distinct(), entries.select(F.col("hash_b").alias("hash")), radius)
+    hit = F.struct("first", F.col("distance").alias("distance"))
+    best = near.join(entries.hint("merge"), "hash_b").groupBy("hash_a").agg(F.min_by(hit, "first").alias("hit"), F.sum("n").alias("n"))
+    found = queries.select("id_a", "hash_a").join(best.hint("merge"), "hash_a").groupBy("id_a").agg(F.min_by("hit", "hit.first").alias("hit"), F.sum("n").alias("n_within"))
+    return found.select("id_a", F.col("hit.first.id_b").alias("match_id"), F.col("hit.distance").alias("distance"), "n_within")

@@ -64,7 +64,7 @@ def hamming_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hashes(spark, sf_dir)
     queries = h.where("vec_id >= 1000000").select(F.col("vec_id").alias("id_a"), F.col("p").alias("hash_a"))
     index = h.where("vec_id < 1000000").select(F.col("vec_id").alias("id_b"), F.col("p").alias("hash_b"), F.col("vec_id").alias("seq"))
-    return dedup.first_match(queries, index, RADIUS)
+    return hamming.first_match(queries, index, RADIUS)
 
 
 @query(f"""WITH {SCORES}, p AS (SELECT vec_id, max(score) FILTER (label = 0) AS pos, max(score) FILTER (label = 1) AS neg FROM s GROUP BY vec_id)

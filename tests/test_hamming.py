@@ -51,7 +51,14 @@ def test_pairs_and_neighbours_with_copies_and_repeated_ids(spark):
     assert {r.id: (r.n_near, r.nearest) for r in hamming.neighbours(df, 10).collect()} == {a: (len(d), min(d)) for a, d in want.items()}
 
 
-@pytest.mark.parametrize("name", ["hamming_multi_index", "hamming_pairs"])
+def test_first_match_counts_copies_and_repeated_queries(spark):
+    queries = spark.createDataFrame([(1, 0), (1, 0), (2, 7), (3, -1), (4, None)], "id_a long, hash_a long")
+    index = spark.createDataFrame([(k, 0, 100 - k) for k in range(50)] + [(60, 1, 0), (61, None, 0)], "id_b long, hash_b long, seq long")
+    out = {r.id_a: (r.match_id, r.distance, r.n_within) for r in hamming.first_match(queries, index, 10).collect()}
+    assert out == {1: (60, 1, 102), 2: (60, 2, 51)}
+
+
+@pytest.mark.parametrize("name", ["hamming_multi_index", "hamming_pairs", "hamming_first_match"])
 def test_no_keys_or_pairs_are_sent_to_the_driver(spark, name):
     plan = getattr(vector_queries, name)(spark, SF)._jdf.queryExecution().toString()
     assert "Broadcast" not in plan
