@@ -14,6 +14,14 @@ def hue(a: Column, b: Column) -> Column:
     return F.pmod(F.degrees(F.atan2(b, a)).cast("int"), F.lit(360))
 
 
+def exact_mean(value: Column) -> Column:
+    """The mean of a group, the same in whatever order its rows come: values of up to 12 decimals are
+    added as decimals, without rounding. A group with others has the mean of doubles."""
+    decimal = value.try_cast("decimal(28,12)")
+    other = value.isNotNull() & ~F.coalesce(decimal.cast("double") == value, F.lit(False))
+    return F.when(F.count_if(other) == 0, F.sum(decimal).cast("double") / F.nullif(F.count(value), F.lit(0))).otherwise(F.avg(value))
+
+
 def is_dark(mean: Column, deviation: Column) -> Column:
     return (mean < 60) & (deviation > 20)
 

@@ -189,7 +189,7 @@ def dominant_hue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, trunc(avg(value))::INTEGER AS brightness, round(stddev_pop(value), 6) AS contrast, avg(value) < 60 AND stddev_pop(value) > 20 AS dark FROM events GROUP BY user_id")
 def brightness_contrast_dark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = table(spark, sf_dir, "events").groupBy("user_id").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"))
+    stats = table(spark, sf_dir, "events").groupBy("user_id").agg(image.exact_mean(F.col("value")).alias("mean"), F.stddev_pop("value").alias("deviation"))
     return stats.select("user_id", F.col("mean").cast("int").alias("brightness"), F.round("deviation", 6).alias("contrast"), image.is_dark(F.col("mean"), F.col("deviation")).alias("dark"))
 
 

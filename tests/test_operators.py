@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gleanery import config
 from gleanery.functions import image, pixels, text
 from gleanery.operators import checks, dedup, filters, reports, scoring, vectors, windows
+from gleanery.plans import vector_queries
 from gleanery.sources import html, manifest, records
 
 S = config.FilterSettings()
@@ -405,3 +406,13 @@ def test_scraped_records_and_paging(spark):
     assert sorted(r.id for r in records.until_empty(found, pages).collect()) == ["w", "x", "y"]
     photos = spark.createDataFrame([("1", 5), ("1", 5), ("2", 9), ("3", 1), ("4", 2)], "id string, place int")
     assert [r.id for r in records.new_photos(photos, spark.createDataFrame([("3",)], "id string"), 2, ["place"]).collect()] == ["4", "1"]
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_a_whole_mean_is_cut_alike_in_any_order(spark, tmp_path, reverse):
+    values = sorted([0.07, 0.29, 119.64] * 1000, reverse=reverse) + [None]  # 40.0 on average
+    spark.createDataFrame([(1, v) for v in values] + [(2, None), (3, 1e300), (3, 3e300), (4, 60.0)], "user_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    out = {r.user_id: (r.brightness, r.dark) for r in vector_queries.brightness_contrast_dark(spark, str(tmp_path)).where("user_id <> 3").collect()}
+    assert out == {1: (40, True), 2: (None, None), 4: (60, False)}
+    huge = spark.read.parquet(f"{tmp_path}/events.parquet").where("user_id = 3").agg(image.exact_mean(F.col("value"))).first()[0]
+    assert huge == 2e300
