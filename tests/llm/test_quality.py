@@ -84,3 +84,28 @@ def test_held_out_accuracy_on_the_tables(spark):
     scored = quality.quality_scores(read(spark, SF, "documents"), labels).where("held_out").join(labels, "doc_id")
     right, n = scored.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int")), F.count("*")).first()
     assert n > 5 and right >= 0.85
+
+
+def test_every_labelled_row_is_learned_from(spark, rows, monkeypatch):
+    """The counts of the rows folded, and a model that follows a label that no sample by size would spare."""
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "fit", lambda *_, **__: pytest.fail("learned from a sample"))
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 100)
+    seen = []
+    inner = quality._fold
+    monkeypatch.setattr(quality, "_fold", lambda table, *rest: seen.append(table.count()) or inner(table, *rest))
+    assert quality.train(docs, labels) is not None
+    assert set(seen) == {sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in rows)}
+
+
+def test_sums_over_blocks_are_those_of_the_whole():
+    rng = np.random.default_rng(3)
+    x = rng.normal(5, 2, (1000, 4))
+    mean, deviation = quality._merged([quality._moments(part) for part in (x[:10], x[10:400], x[400:])])
+    assert np.allclose(mean, x.mean(0)) and np.allclose(deviation, x.std(0))
+    z, y, w = rng.normal(size=(90, 3)), np.arange(90) % 3 == 0, rng.normal(size=3)
+    n, loss, *grad = quality._pair_sums(z, y, w)[:5]
+    step = 1e-6 * np.eye(3)
+    slope = [(quality._pair_sums(z, y, w + s)[1] - loss) / 1e-6 for s in step]
+    assert n == 240 and np.allclose(grad, slope, rtol=1e-3, atol=1e-3)
