@@ -327,7 +327,8 @@ def read_shards(spark, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([get["doc_ids"].values, pa.array(begin + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.join(starts, "part").mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
+    # Files are decoded where they lie: unless the few starts are sent to them, the join shuffles the shards.
+    return shards.join(F.broadcast(starts), "part").mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -139,3 +139,15 @@ def test_equal_ids_are_divided(spark):
     assert sum(sizes) == 3000 and max(sizes) < 1000
     out = repair.read_shards(spark, path)
     assert out.count() == 3000 and out.select("start").distinct().count() == 3000
+
+
+def test_shards_are_not_shuffled_to_be_read(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for shards of more than that
+    try:
+        out = repair.token_output(docs, public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/shards")
+        assert out.count() == 20
+        assert "SortMergeJoin" not in out._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
