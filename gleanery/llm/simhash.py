@@ -42,6 +42,7 @@ SEED = 42
 TILE = 1024  # fingerprints of a key that meet in one task
 PAIRS = 1 << 21  # pairs looked at together in a task
 BUFFER = 1 << 15  # rows gathered before pairs are made
+KEYED = 1 << 15  # rows of a node and a key in a batch
 REMEMBERED = 1 << 21  # shingle hashes kept while pairs are verified
 N_PIVOTS = 16  # for one plane; fewer for wide fingerprints, whose radius lets pivots discard little
 RADIUS_DEVIATIONS = 2.25  # of the distance at the similarity: its radius lies above the mean by these
@@ -294,24 +295,28 @@ def _edges(rows: DataFrame, planes: int, radius: int, likely: int | None = None,
     return rows.mapInArrow(run, "a long, b long" if likely is None else "key long, lo int, hi int, a long, b long")
 
 
-def keyed(nodes: DataFrame, planes: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """nodes (fp, ...) once for each of their keys, with `key`."""
+def keyed(nodes: DataFrame, planes: int, keys: Callable[[np.ndarray], np.ndarray], carry: bool = True) -> DataFrame:
+    """nodes (fp, ...) once for each of their keys, with `key`, or without `carry` the keys alone; at
+    most KEYED rows in a batch, as the JVM keeps the buffers of the largest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 2048):
                 part = batch.slice(low, 2048)
-                if part.num_rows:
-                    k = keys(_matrix(part.column("fp"), planes))
-                    again = pa.array(np.repeat(np.arange(part.num_rows), k.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), *[c.take(again) for c in part.columns]], ["key", *part.schema.names])
+                k = keys(_matrix(part.column("fp"), planes))
+                rows = max(1, KEYED // k.shape[1])
+                for at in range(0, part.num_rows, rows):
+                    some, own = part.slice(at, rows), k[at : at + rows]
+                    again = pa.array(np.repeat(np.arange(some.num_rows), k.shape[1]))
+                    columns = [c.take(again) for c in some.columns] if carry else []
+                    yield pa.RecordBatch.from_arrays([pa.array(own.ravel().view(np.int64)), *columns], ["key", *(some.schema.names if carry else [])])
 
-    return nodes.mapInArrow(run, StructType([StructField("key", LongType()), *nodes.schema.fields]))
+    return nodes.mapInArrow(run, StructType([StructField("key", LongType()), *(nodes.schema.fields if carry else [])]))
 
 
 def crowded(nodes: DataFrame, planes: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """(key, n) of the keys with more nodes than a tile; written, so that the planner knows their number."""
-    only = keyed(nodes.select("fp"), planes, keys).select("key")
+    only = keyed(nodes.select("fp"), planes, keys, carry=False)
     return stored(only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "heavy-keys")
 
 

@@ -1,6 +1,7 @@
 """SimHash against brute force, and the kernel's exactness with hot keys."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -191,3 +192,20 @@ def test_links_of_earlier_batches_hold(monkeypatch):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_classes(none).count() == 0 and simhash.near_dedup(none).count() == 0
+
+
+def test_keyed_rows_come_in_small_batches(spark):
+    rows = [(k, k.to_bytes(8, "big")) for k in range(3000)]
+    nodes = spark.createDataFrame(rows, "node long, fp binary")
+    many = lambda fp: fp[:, :1] + np.arange(100, dtype=np.uint64)
+
+    class Nodes:
+        schema = nodes.schema
+        mapInArrow = staticmethod(lambda run, schema: list(run(iter([pa.RecordBatch.from_pylist([{"node": k, "fp": fp} for k, fp in rows])]))))
+
+    batches = simhash.keyed(Nodes, 1, many)
+    assert sum(b.num_rows for b in batches) == 300_000 and max(b.num_rows for b in batches) <= simhash.KEYED
+    first = batches[0].slice(250, 1).to_pylist()[0]
+    assert first == {"key": 52, "node": 2, "fp": rows[2][1]}
+    alone = simhash.keyed(nodes.select("fp"), 1, many, carry=False)
+    assert alone.columns == ["key"] and alone.count() == 300_000
